@@ -21,6 +21,7 @@ def format_bytes(size: Column) -> Column:
     return text
 
 
-def round_exact(value: Column, digits: int) -> Column:
-    """Half-even rounding of the exact binary value to `digits` decimals."""
-    return F.call_function("format_number", value, F.lit("0." + "0" * digits)).cast("double") + F.lit(0.0)
+def round_half_even(value: Column, digits: int) -> Column:
+    """Scale, round to the nearest even integer, scale back; negative zero becomes zero."""
+    scale = float(10 ** digits)
+    return F.rint(value * scale) / scale + F.lit(0.0)

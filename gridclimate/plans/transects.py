@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclimate.functions.grid import grid_value, with_cell
-from gridclimate.functions.text import round_exact
+from gridclimate.functions.text import round_half_even
 from gridclimate.plans.points import CELL_KEY
 from gridclimate.sources.store import select_window
 
@@ -57,7 +57,7 @@ def transect_points(counted: DataFrame, key: str = "transect_id") -> DataFrame:
 
     def along(first: str, last: str) -> Column:
         step = (F.col(last) - F.col(first)) / (n - 1)
-        return round_exact(F.when(i == n - 1, F.col(last)).otherwise(i * step + F.col(first)), 4)
+        return round_half_even(F.when(i == n - 1, F.col(last)).otherwise(i * step + F.col(first)), 4)
 
     return (counted.where("n_points is not null")
             .withColumn("_i", F.explode(F.sequence(F.lit(0), n - 1)))

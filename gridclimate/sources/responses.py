@@ -30,7 +30,7 @@ def read_responses(spark: SparkSession, path: str, layout: str = "file") -> Data
     """Landed bodies: one JSON document per file, or one per line (`layout='lines'`)."""
     if layout not in ("file", "lines"):
         raise ValueError("layout must be 'file' or 'lines'")
-    text = spark.read.option("wholetext", layout == "file").text(path)
+    text = spark.read.text(path, wholetext=layout == "file")
     return text.select(F.col("_metadata.file_path").alias("response_id"), F.col("value").alias("body"))
 
 
@@ -46,7 +46,13 @@ def fill_to_null(value: Column) -> Column:
 
 
 def _parsed(df: DataFrame, schema: str) -> DataFrame:
-    parsed = df.withColumn("_doc", F.from_json("body", schema, JSON_OPTIONS))
+    """Add `_doc` and, if absent, `http_status`.
+
+    The parse sits behind `inline`, which filters are not pushed through;
+    otherwise the optimizer copies it into every condition on the document.
+    """
+    doc = F.inline(F.array(F.struct(F.from_json("body", schema, JSON_OPTIONS).alias("_doc"))))
+    parsed = df.select("*", doc)
     return parsed if "http_status" in df.columns else parsed.withColumn("http_status", F.lit(None).cast("int"))
 
 
@@ -76,22 +82,27 @@ def _date_columns(key: Column) -> dict[str, Column]:
     }
 
 
-def point_values(df: DataFrame) -> DataFrame:
+def point_values(df: DataFrame, place: bool = False) -> DataFrame:
     """Every value of every point response, bad date keys included.
 
     Adds `param, date_key, temporal, obs_ts, value`; `obs_ts` is NULL for a bad key.
+    `place` also adds `lat` and `lon` from the body and leaves out bodies without them.
     """
     keep = [c for c in df.columns if c not in ("body", "http_status")]
     good = _parsed(df, POINT_JSON).where(_failure_reason().isNull())
+    if place:
+        spot = F.col("_doc.geometry.coordinates")
+        good = good.where(F.size(spot) >= 2).withColumns({"lat": spot[1], "lon": spot[0]})
+        keep += ["lat", "lon"]
     series = good.select(*keep, F.explode("_doc.properties.parameter").alias("param", "_series"))
     return (series.select(*keep, "param", F.explode("_series").alias("date_key", "_raw"))
             .withColumns(_date_columns(F.col("date_key")))
             .withColumn("value", clean_value(F.col("_raw"))).drop("_raw"))
 
 
-def ingest_point(df: DataFrame) -> DataFrame:
+def ingest_point(df: DataFrame, place: bool = False) -> DataFrame:
     """Long observations: carried columns, `param, temporal, obs_ts, value`."""
-    return point_values(df).where("obs_ts is not null").drop("date_key")
+    return point_values(df, place).where("obs_ts is not null").drop("date_key")
 
 
 def bad_date_keys(df: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridclimate.functions.grid import with_cell
-from gridclimate.sources.responses import POINT_JSON, JSON_OPTIONS, ingest_point
+from gridclimate.sources.responses import ingest_point
 from gridclimate.sources.store import ROW_KEY, ObservationStore
 
 
@@ -28,10 +28,8 @@ def response_stream(spark: SparkSession, path: str, max_files: int = 10_000) ->
 
 def responses_to_rows(responses: DataFrame) -> DataFrame:
     """Point responses to store rows; the cell comes from the body's own coordinates."""
-    place = F.from_json("body", POINT_JSON, JSON_OPTIONS)["geometry"]["coordinates"]
-    placed = responses.withColumn("_place", place).where(F.size("_place") >= 2).withColumns(
-        {"lat": F.col("_place")[1], "lon": F.col("_place")[0]}).drop("_place")
-    return with_cell(ingest_point(placed)).withColumn("variant", F.lit("base")).select(*ROW_KEY, "value", "response_id")
+    placed = with_cell(ingest_point(responses, place=True))
+    return placed.withColumn("variant", F.lit("base")).select(*ROW_KEY, "value", "response_id")
 
 
 def checkpoint_path(spark: SparkSession, name: str, fallback: str | None = None) -> str:

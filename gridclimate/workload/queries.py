@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from gridclimate.functions import coordinates as coord
 from gridclimate.functions.dates import ensure_date_column, parse_dates
-from gridclimate.functions.text import round_exact
+from gridclimate.functions.text import round_half_even
 from gridclimate.functions.grid import cell_centre_lat, cell_centre_lon
 from gridclimate.operators import merge, profile, requests as req
 from gridclimate.plans import points, regions, transects
@@ -341,15 +341,15 @@ def mean_by_site(spark, sf_dir):
 
 
 @query("window_totals", """
-select site_id, cast(format('{:.2f}', round(avg(case when param = 'T2M' then value end), 6)) as double) as mean_temperature,
-       cast(format('{:.2f}', round(coalesce(sum(case when param = 'PRECTOTCORR' then value end), 0), 6)) as double) as total_rain
+select site_id, round_even(100 * round(avg(case when param = 'T2M' then value end), 6), 0) / 100 as mean_temperature,
+       round_even(100 * round(coalesce(sum(case when param = 'PRECTOTCORR' then value end), 0), 6), 0) / 100 as total_rain
 from v_obs where """ + WINDOW + " group by site_id")
 def window_totals(spark, sf_dir):
     obs = select_window(v.observations(spark, sf_dir), start=START, end=END)
     return obs.groupBy("site_id").agg(
         F.avg(F.when(F.col("param") == "T2M", F.col("value"))).alias("mean_temperature"),
         F.coalesce(F.sum(F.when(F.col("param") == "PRECTOTCORR", F.col("value"))), F.lit(0.0)).alias("total_rain"),
-    ).select("site_id", *[round_exact(F.round(c, 6), 2).alias(c) for c in ("mean_temperature", "total_rain")])
+    ).select("site_id", *[round_half_even(F.round(c, 6), 2).alias(c) for c in ("mean_temperature", "total_rain")])
 
 
 @query("profile", f"""
@@ -540,7 +540,7 @@ select site_id, round(case when lat_expected is not null and ok then lat_expecte
        case when lat_expected is not null and ok then lon_expected end as lon,
        case when style = 1 then 'number' when style = 0 then 'dd,dd' when style = 2 then 'ddm,dd'
             when style in (3, 4, 5, 6) then 'dms,dd' end as coord_format,
-       case when style = 6 then 'minus sign ignored, hemisphere letter used' end as coord_warning,
+       case when style = 6 and site_id % 89 <> 0 then 'minus sign ignored, hemisphere letter used' end as coord_warning,
        case when style = 7 then 'cannot read latitude' when not ok then 'longitude outside [-180, 180]' end as coord_error
 from (select *, lon_expected <= 180 as ok from v_coord_text) t""")
 def sites_standardise(spark, sf_dir):
@@ -661,8 +661,8 @@ counted as (select *, cast(greatest(2, case when want > 1 and total_km / (want -
 SAMPLED = COUNTED + """,
 numbered as (select *, unnest(range(n_points)) as i from counted),
 sampled as (select transect_id, cast(i + 1 as int) as point_no, params_csv, 'Point_' || (i + 1) as name,
-       cast(format('{:.4f}', case when i = n_points - 1 then lat2 else lat1 + i * ((lat2 - lat1) / (n_points - 1)) end) as double) + 0 as lat,
-       cast(format('{:.4f}', case when i = n_points - 1 then lon2 else lon1 + i * ((lon2 - lon1) / (n_points - 1)) end) as double) + 0 as lon
+       round_even(10000e0 * case when i = n_points - 1 then lat2 else lat1 + i * ((lat2 - lat1) / (n_points - 1)) end, 0) / 10000 + 0 as lat,
+       round_even(10000e0 * case when i = n_points - 1 then lon2 else lon1 + i * ((lon2 - lon1) / (n_points - 1)) end, 0) / 10000 + 0 as lon
   from numbered)"""
 
 
