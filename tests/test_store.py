@@ -83,10 +83,14 @@ def test_sinks(spark, tmp_path):
         resolve_format("x", "xlsx")
     df = spark.createDataFrame([(D(2023, 1, 1), None, 2.5)], "date timestamp_ntz, name string, T2M double")
     assert write_result(df, str(tmp_path / "o.json")) == "json"
-    text = open(glob.glob(str(tmp_path / "o.json/part-*"))[0]).read()
+
+    def written(folder):
+        return "".join(open(p).read() for p in sorted(glob.glob(str(tmp_path / folder / "part-*"))))
+
+    text = written("o.json")
     assert json.loads(text) == {"date": "2023-01-01T00:00:00.000", "name": None, "T2M": 2.5}
     assert write_result(df, str(tmp_path / "o.csv")) == "csv"
-    assert open(glob.glob(str(tmp_path / "o.csv/part-*"))[0]).read().startswith("date,name,T2M\n")
+    assert written("o.csv").startswith("date,name,T2M\n")
     assert write_result(df, str(tmp_path / "o"), "parquet") == "parquet"
     assert spark.read.parquet(str(tmp_path / "o")).first()["T2M"] == 2.5
 
