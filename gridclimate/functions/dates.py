@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 # --- Fixed values: accepted and refused date shapes -------------------------------
 SLASH_DATE = r"^\d{1,2}/\d{1,2}/\d{2,4}$"
 COMPACT_DAY = r"^\d{8}$"
-COMPACT_HOUR = r"^\d{10}$"
 ZONED_TEXT = r"\d:\d\d.*(Z|[+-]\d\d:?\d\d)$"
 # --- end of fixed values ----------------------------------------------------------
 
@@ -23,7 +22,24 @@ def date_key_timestamp(key: Column) -> Column:
     iso = F.concat(key.substr(1, 4), F.lit("-"), key.substr(5, 2), F.lit("-"), key.substr(7, 2),
                    F.lit(" "), F.when(F.length(key) == 10, key.substr(9, 2)).otherwise(F.lit("00")),
                    F.lit(":00:00"))
-    return F.when(key.rlike(COMPACT_DAY) | key.rlike(COMPACT_HOUR), iso.try_cast(NTZ))
+    # The cast itself refuses anything but digits in these places.
+    return F.when(F.length(key).isin(8, 10), iso.try_cast(NTZ))
+
+
+def date_key(stamp: Column, hourly: bool = False) -> Column:
+    """Timestamp to its wire key; reads the naive clock, so no zone is involved."""
+    text = stamp.cast(NTZ).cast("string")
+    day = F.concat(text.substr(1, 4), text.substr(6, 2), text.substr(9, 2))
+    return F.concat(day, text.substr(12, 2)) if hourly else day
+
+
+def clock_micros(stamp: Column, kind: T.DataType) -> Column:
+    """Microseconds on a time line: instants for zoned stamps, the naive clock otherwise."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(stamp)
+    naive = stamp.cast(NTZ)
+    seconds = F.unix_date(naive.cast("date")) * F.lit(86_400).cast("bigint") + F.hour(naive) * 3600 + F.minute(naive) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), naive) * 1_000_000).cast("bigint")
 
 
 def parse_text_date(text: Column) -> Column:

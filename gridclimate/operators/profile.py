@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridclimate.functions.dates import clock_micros
 from gridclimate.functions.text import format_bytes
 from gridclimate.sources.catalog import RATE_LIMIT_CALLS, RATE_LIMIT_SECONDS
 
@@ -38,66 +41,60 @@ def growing_degree_days(temperature: Column, base: float = 10.0) -> Column:
     return F.when(temperature.isNotNull(), F.greatest(temperature - base, F.lit(0.0)))
 
 
-def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float]) -> DataFrame:
+def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[str, float],
+                    also: list[Column] | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) per group, without gathering a group.
 
     Repeated values are counted before the shuffle. A quantile sketch then gives
     cut points just around each wanted rank, the exact row counts between the
     cuts say which slice holds a rank, and only those slices are ordered. The
-    cuts decide how much is sorted, never the answer.
+    cuts decide how much is sorted, never the answer. `also` holds further
+    aggregates, computed in the sketch pass.
     """
     margin, accuracy = 0.001, 20000
     cuts = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)})
-    known = df.where(F.col(value).isNotNull()).select(*groups, F.col(value).alias("_v"))
-    sketch = known.groupBy(*groups).agg(
-        F.percentile_approx("_v", cuts, accuracy).alias("_cuts"), F.count("*").alias("_n"))
+    summary = df.groupBy(*groups).agg(
+        F.percentile_approx(value, cuts, accuracy).alias("_cuts"), F.count(value).alias("_n"), *(also or []))
+    sketch = summary.select(*groups, "_cuts", "_n")
     slice_no = sum((F.when(F.col("_v") > F.col("_cuts")[i], 1).otherwise(0) for i in range(len(cuts))), F.lit(0))
-    counted = known.groupBy(*groups, "_v").agg(F.count("*").alias("_c"))
-    sliced = counted.join(sketch.select(*groups, "_cuts"), groups).withColumn("_s", slice_no).drop("_cuts")
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v"))
+               .agg(F.count("*").alias("_c")))
+    sliced = counted.join(sketch, groups).withColumn("_s", slice_no).drop("_cuts")
 
     # At most len(cuts) + 1 slices per group.
     before = Window.partitionBy(*groups).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (sliced.groupBy(*groups, "_s").agg(F.sum("_c").alias("_rows"))
-              .withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-              .join(sketch.select(*groups, "_n"), groups))
+    slices = (sliced.groupBy(*groups, "_n", "_s").agg(F.sum("_c").alias("_rows"))
+              .withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0))))
     ranks = {}
     for name, p in probs.items():
-        exact = (F.col("_n") - 1) * F.lit(float(p))
-        ranks[name] = (F.floor(exact), F.ceil(exact), exact - F.floor(exact))
+        place = (F.col("_n") - 1) * F.lit(float(p))
+        ranks[name] = (F.floor(place), F.ceil(place), place - F.floor(place))
 
     def inside(rank: Column, skip: Column, rows: Column) -> Column:
         return (rank >= skip) & (rank < skip + rows)
 
-    wanted = slices.where(" or ".join(["false"])) if not ranks else slices.where(
-        _any_of([inside(r, F.col("_skip"), F.col("_rows")) for lo, hi, _ in ranks.values() for r in (lo, hi)]))
+    hits = [inside(r, F.col("_skip"), F.col("_rows")) for low, high, _ in ranks.values() for r in (low, high)]
+    wanted = slices.where(reduce(lambda a, b: a | b, hits)).select(*groups, "_s", "_skip")
     running = Window.partitionBy(*groups, "_s").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (sliced.join(wanted.select(*groups, "_s", "_skip", "_n"), [*groups, "_s"])
+    placed = (sliced.join(wanted, [*groups, "_s"])
               .withColumn("_at", F.col("_skip") + F.coalesce(F.sum("_c").over(running), F.lit(0))))
     picks = []
     for name, (low, high, _) in ranks.items():
         picks += [F.max(F.when(inside(low, F.col("_at"), F.col("_c")), F.col("_v"))).alias(f"{name}_lo"),
                   F.max(F.when(inside(high, F.col("_at"), F.col("_c")), F.col("_v"))).alias(f"{name}_hi")]
-    found = placed.groupBy(*groups, "_n").agg(*picks)
-    return found.select(*groups, *[
+    found = placed.groupBy(*groups, "_n").agg(*picks).select(*groups, *[
         (F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * part).alias(name)
         for name, (_, _, part) in ranks.items()])
-
-
-def _any_of(conditions: list[Column]) -> Column:
-    out = conditions[0]
-    for c in conditions[1:]:
-        out = out | c
-    return out
+    return summary.drop("_cuts", "_n").join(found, groups, "left")
 
 
 def describe_params(obs: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per parameter."""
-    basic = obs.groupBy("param").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    quartiles = exact_quantiles(obs, ["param"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75})
-    return basic.join(quartiles, "param", "left").select(
-        "param", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
+    return exact_quantiles(
+        obs, ["param"], "value", {"q25": 0.25, "q50": 0.5, "q75": 0.75},
+        [F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
+         F.min("value").alias("min"), F.max("value").alias("max")],
+    ).select("param", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def rate_audit(log: DataFrame, client: str, stamp: str, calls: int = RATE_LIMIT_CALLS,
@@ -109,7 +106,7 @@ def rate_audit(log: DataFrame, client: str, stamp: str, calls: int = RATE_LIMIT_
     also sees the piece before it, so one busy client spreads over many tasks.
     """
     span = seconds * 1_000_000
-    micros = F.unix_micros(F.col(stamp).cast("timestamp"))
+    micros = clock_micros(F.col(stamp), log.schema[stamp].dataType)
     at = log.withColumn("_us", micros).withColumn("_piece", F.floor(F.col("_us") / F.lit(span)).cast("bigint"))
     tallied = at.groupBy(client, "_us", "_piece").agg(F.count("*").alias("_c"))
     seen = tallied.select(client, "_us", "_c", F.explode(F.array(

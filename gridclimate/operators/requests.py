@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridclimate.functions.dates import date_key
 from gridclimate.sources.catalog import (
     ALL_GROUP, DAILY_ONLY, HOURLY_START, MAX_BOX_DEGREES, MAX_PARAMS_DAILY, MAX_PARAMS_HOURLY,
     MAX_PARAMS_REGIONAL, METEO_FAMILY, SOLAR, SOLAR_FAMILY, WIND_ELEVATION_RANGE)
@@ -148,8 +149,8 @@ def fetch_plan(planned: DataFrame) -> DataFrame:
     keep = [c for c in planned.columns if c != "ranges"]
     return (planned.select(*keep, F.posexplode("ranges").alias("range_no", "_r"))
             .select(*keep, (F.col("range_no") + 1).alias("range_no"), "_r.range_start", "_r.range_end",
-                    F.date_format("_r.range_start", "yyyyMMdd").alias("start_key"),
-                    F.date_format("_r.range_end", "yyyyMMdd").alias("end_key")))
+                    date_key(F.col("_r.range_start")).alias("start_key"),
+                    date_key(F.col("_r.range_end")).alias("end_key")))
 
 
 def plan_hit_rate(planned: DataFrame) -> DataFrame:

@@ -33,15 +33,20 @@ def point_query(store: DataFrame, lat: float, lon: float, start: str, end: str,
 
     The cells are literals, so they reach the scan as pushed filters.
     """
+    variant = variant_of(F.lit(elevation).cast("double"), F.lit(wind_elevation).cast("double"),
+                         F.lit(wind_surface).cast("string"))
+    here = point_rows(store, lat, lon, start, end, params, temporal).where(F.col("variant") == variant)
+    return to_wide(here, ["obs_ts"], params)
+
+
+def point_rows(store: DataFrame, lat: float, lon: float, start: str, end: str, params: list[str],
+               temporal: str = "daily") -> DataFrame:
+    """Store rows of the cells around one coordinate."""
     if not params:
         raise ValueError("no parameters given")
     if not (-90.0 <= lat <= 90.0 and -180.0 <= lon <= 180.0):
         raise ValueError("coordinate out of range")
-    variant = variant_of(F.lit(elevation).cast("double"), F.lit(wind_elevation).cast("double"),
-                         F.lit(wind_surface).cast("string"))
-    window = select_window(store, temporal, params, start, end)
-    here = _any_cell(params, lat, lon)
-    return to_wide(window.where(here & (F.col("variant") == variant)), ["obs_ts"], params)
+    return select_window(store, temporal, params, start, end).where(_any_cell(params, lat, lon))
 
 
 def _any_cell(params: list[str], lat: float, lon: float) -> Column:

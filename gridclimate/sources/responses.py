@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclimate.functions.dates import date_key_timestamp
+from gridclimate.functions.dates import date_key, date_key_timestamp
 
 # --- Fixed values: wire format ------------------------------------------------------
 FILL_CODE = -999.0
-DAY_KEY, HOUR_KEY = "yyyyMMdd", "yyyyMMddHH"
 REJECTED_STATUS = [400, 422]
 # --- end of fixed values --------------------------------------------------------------
 
@@ -140,7 +139,7 @@ def export_responses(obs: DataFrame, keys: list[str], temporal: str = "daily") -
     so a document is at most 8,784 stamps per parameter however long the history.
     Rows must be unique per key, parameter and stamp.
     """
-    stamp = F.date_format("obs_ts", HOUR_KEY if temporal == "hourly" else DAY_KEY)
+    stamp = date_key(F.col("obs_ts"), temporal == "hourly")
     wire = F.struct(stamp.alias("k"), F.coalesce("value", F.lit(FILL_CODE)).alias("v"))
     group = [*keys, "year"]
     # Partitioning on the document key once serves both groupings.

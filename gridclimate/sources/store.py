@@ -36,10 +36,12 @@ PARTITIONS = ["temporal", "param", "year"]
 
 
 def select_window(obs: DataFrame, temporal: str | None = None, params: list[str] | None = None,
-                  start: datetime | str | None = None, end: datetime | str | None = None) -> DataFrame:
+                  start: datetime | str | None = None, end: datetime | str | None = None,
+                  end_of_day: bool = False) -> DataFrame:
     """Filter by resolution, parameters and an inclusive time window.
 
-    When the table has a `year` column the window is also stated on it, so the
+    Bounds are instants: a bare end date stops at its midnight unless
+    `end_of_day` is set. When the table has a `year` column the window is also stated on it, so the
     scan lists only the partitions it needs.
     """
     if temporal:
@@ -50,7 +52,12 @@ def select_window(obs: DataFrame, temporal: str | None = None, params: list[str]
         if bound is None:
             continue
         stamp = F.lit(str(bound)).cast("timestamp_ntz")
-        obs = obs.where(F.col("obs_ts") >= stamp if low else F.col("obs_ts") <= stamp)
+        if low:
+            obs = obs.where(F.col("obs_ts") >= stamp)
+        elif end_of_day and len(str(bound)) == 10:
+            obs = obs.where(F.col("obs_ts") < stamp + F.expr("interval 24 hours"))
+        else:
+            obs = obs.where(F.col("obs_ts") <= stamp)
         if "year" in obs.columns:
             year = int(str(bound)[:4])
             obs = obs.where(F.col("year") >= year if low else F.col("year") <= year)

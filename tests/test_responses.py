@@ -1,6 +1,8 @@
 import datetime as dt
 import json
 
+from pyspark.sql import functions as F
+
 from gridclimate.plans.points import to_wide
 from gridclimate.sources import responses as R
 
@@ -84,3 +86,14 @@ def test_export_round_trip(spark):
         assert sorted((r["site_id"], r["param"], r["obs_ts"], r["value"]) for r in back.collect() if r["value"] is not None) == [
             (7, "RH2M", stamps[0], 1.0), (7, "T2M", stamps[0], 10.5)]
         assert back.where("value is null").count() == 1 and {r["temporal"] for r in back.collect()} == {temporal}
+
+
+def test_odd_date_keys(spark):
+    """Only keys a strict date parser takes are taken."""
+    keys = ["20230101", "2023010123", "2023010124", "+2023010", "-2023010", " 0230101", "2023 101", "202301 1", "2023-1-1", "2023010a",
+            "2023010 1", "202301011 ", "20230229", "20240229", "2023011", "202301010203", "00000101", "２０２３０１０１"]
+    df = spark.createDataFrame([(k,) for k in keys], "k string")
+    got = {r["k"] for r in df.where(R.date_key_timestamp(F.col("k")).isNotNull()).collect()}
+    assert got - {"00000101"} == {"20230101", "2023010123", "20240229"}
+    back = spark.sql("select timestamp_ntz'2024-03-10 02:30:00' t").select(R.date_key(F.col("t")), R.date_key(F.col("t"), True)).first()
+    assert tuple(back) == ("20240310", "2024031002")
