@@ -16,6 +16,7 @@ from gridclimate.plans import points, regions, transects
 from gridclimate.sources import responses as resp
 from gridclimate.sources import catalog as cat
 from gridclimate.sources.store import coverage, select_window, upsert
+from gridclimate.workload import streams
 from gridclimate.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -712,3 +713,17 @@ def union_regions(spark, sf_dir):
     frames = [regions.region_query(held, boxes.where(F.col("param") == p), START, END)
               .withColumnRenamed("value", p).drop("param") for p in ("T2M", "ALLSKY_SFC_SW_DWN")]
     return merge.union_columns(*frames)
+
+
+# --- streaming ------------------------------------------------------------------------------
+
+@query("stream_ingest", """
+select param, cell_lat, cell_lon, cast(obs_date as timestamp) as obs_ts, value from v_store""")
+def stream_ingest(spark, sf_dir):
+    return streams.ingest_events(spark, sf_dir).select("param", "cell_lat", "cell_lon", "obs_ts", "value")
+
+
+@query("stream_first_arrivals", """
+select distinct site_id, param, cast(obs_date as timestamp) as obs_ts from v_obs_raw""")
+def stream_first_arrivals(spark, sf_dir):
+    return streams.first_arrivals(spark, sf_dir).select("site_id", "param", F.col("obs_date").cast("timestamp_ntz").alias("obs_ts"))
