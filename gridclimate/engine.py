@@ -77,7 +77,7 @@ class ClimateEngine:
                                              "wind_elevation": wind_elevation, "wind_surface": wind_surface}])
         site = site.withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
         here = points.point_rows(self.rows, lat, lon, start, end, params, self.temporal)
-        full = points.multi_point_complete(here, site, start, end, params, self.temporal)
+        full = points.multi_point(here, site, start, end, params, self.temporal, calendar_if_silent=True)
         return full.select("obs_ts", *params)
 
     def multi_point(self, sites: DataFrame | Iterable[dict | tuple], start: str, end: str,
@@ -90,7 +90,8 @@ class ClimateEngine:
         windy = F.coalesce(~F.col("wind_elevation").between(low, high), F.lit(False))
         failed = bad.withColumn("reason", F.col("coord_error")).unionByName(
             good.where(windy).withColumn("reason", F.lit(f"wind elevation outside [{low:g}, {high:g}]")))
-        answer = points.multi_point_complete(self.rows, good.where(~windy), start, end, params, self.temporal)
+        answer = points.multi_point(self.rows, good.where(~windy), start, end, params, self.temporal,
+                                    calendar_if_silent=True)
         return answer, failed.select("site_id", "name", "reason")
 
     def transect(self, first: Coordinate, last: Coordinate, start: str, end: str, params: list[str],
@@ -105,7 +106,7 @@ class ClimateEngine:
             " spacing_km double, params array<string>")
         samples = transects.transect_points(transects.transect_counts(line)).select(
             F.col("point_no").cast("bigint").alias("site_id"), "lat", "lon", "name")
-        return points.multi_point_complete(self.rows, samples, start, end, params, self.temporal).select(
+        return points.multi_point(self.rows, samples, start, end, params, self.temporal, calendar_if_silent=True).select(
             "obs_ts", "lat", "lon", "name", *params)
 
     def region(self, lat_min: float, lat_max: float, lon_min: float, lon_max: float, start: str, end: str,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from gridclimate.functions.dates import calendar
 from gridclimate.functions.grid import cell_lat_index, cell_lon_index, variant_of, with_cell
-from gridclimate.sources.catalog import with_catalog
+from gridclimate.sources.catalog import SOLAR, with_catalog
 from gridclimate.sources.store import select_window
 
 CELL_KEY = ["param", "cell_lat", "cell_lon", "variant"]
@@ -59,13 +59,17 @@ def _any_cell(params: list[str], lat: float, lon: float) -> Column:
     return match
 
 
-def site_cells(sites: DataFrame, params: list[str], match_variant: bool = True) -> DataFrame:
-    """One row per site and parameter, with its cell and variant."""
+def _site_variant(sites: DataFrame, match_variant: bool) -> Column:
     def option(name: str, kind: str) -> Column:
         return F.col(name) if name in sites.columns else F.lit(None).cast(kind)
-    variant = variant_of(option("elevation", "double"), option("wind_elevation", "double"),
-                         option("wind_surface", "string")) if match_variant else F.lit("base")
-    expanded = (sites.withColumn("variant", variant)
+    if not match_variant:
+        return F.lit("base")
+    return variant_of(option("elevation", "double"), option("wind_elevation", "double"), option("wind_surface", "string"))
+
+
+def site_cells(sites: DataFrame, params: list[str], match_variant: bool = True) -> DataFrame:
+    """One row per site and parameter, with its cell and variant."""
+    expanded = (sites.withColumn("variant", _site_variant(sites, match_variant))
                 .withColumn("param", F.explode(F.array(*[F.lit(p) for p in dict.fromkeys(params)]))))
     return with_cell(expanded)
 
@@ -85,12 +89,56 @@ def multi_point_long(store: DataFrame, sites: DataFrame, start: str, end: str, p
     return cells.join(window, CELL_KEY).select(*carried, "param", "obs_ts", "value")
 
 
+def with_spot(sites: DataFrame, params: list[str], match_variant: bool = True) -> tuple[DataFrame, list[str]]:
+    """Add the columns that decide a site's answer, and return their names.
+
+    Two sites in the same cell of every grid asked for, with the same options,
+    have the same series. That combination is a spot.
+    """
+    codes = {"solar" if p in SOLAR else "meteo": p for p in params}
+    columns = {"variant": _site_variant(sites, match_variant)}
+    for grid, code in codes.items():
+        columns[f"{grid}_lat"] = cell_lat_index(F.col("lat"), F.lit(code))
+        columns[f"{grid}_lon"] = cell_lon_index(F.col("lon"), F.lit(code))
+    return sites.withColumns(columns), list(columns)
+
+
+def _spot_cells(spots: DataFrame, params: list[str]) -> DataFrame:
+    """One row per spot and parameter, with the parameter's cell."""
+    def cell(axis: str) -> Column:
+        solar = F.col("param").isin(SOLAR)
+        sides = {g: f"{g}_{axis}" for g in ("solar", "meteo") if f"{g}_{axis}" in spots.columns}
+        if len(sides) == 1:
+            return F.col(next(iter(sides.values())))
+        return F.when(solar, F.col(sides["solar"])).otherwise(F.col(sides["meteo"]))
+    named = F.explode(F.array(*[F.lit(p) for p in dict.fromkeys(params)]))
+    return spots.withColumn("param", named).withColumns({"cell_lat": cell("lat"), "cell_lon": cell("lon")})
+
+
 def multi_point(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
-                temporal: str = "daily", match_variant: bool = True) -> DataFrame:
-    """Wide series of every site: site columns, `obs_ts`, one column per parameter."""
+                temporal: str = "daily", match_variant: bool = True, calendar_if_silent: bool = False) -> DataFrame:
+    """Wide series of every site: site columns, `obs_ts`, one column per parameter.
+
+    Observations are looked up and made wide once per distinct spot, and only
+    then handed to the sites, so the site columns never travel with the pivot and
+    sites sharing a cell share the work. The last join is an equi-join whose site
+    side adaptive execution can split when one cell holds many sites.
+    With `calendar_if_silent`, sites without any row get a NULL calendar.
+    """
     carried = [c for c in SITE_COLUMNS if c in sites.columns]
-    long = multi_point_long(store, sites, start, end, params, temporal, match_variant, carried)
-    return to_wide(long, [*carried, "obs_ts"], params)
+    placed, spot = with_spot(sites, params, match_variant)
+    spots = placed.select(*spot).distinct()
+    asked = _spot_cells(spots, params)
+    window = select_window(store, temporal, params, start, end)
+    wide = to_wide(asked.join(window.select(*CELL_KEY, "obs_ts", "value"), CELL_KEY), [*spot, "obs_ts"], params)
+    if calendar_if_silent:
+        # Which spots are held needs only the distinct cells; the distinct
+        # collapses each cell's history before the shuffle.
+        held = asked.join(window.select(*CELL_KEY).distinct(), CELL_KEY, "left_semi").select(*spot)
+        silent = spots.join(held, spot, "left_anti").withColumns({"_s": F.lit(start), "_e": F.lit(end)})
+        blank = calendar(silent, "_s", "_e", temporal).drop("_s", "_e")
+        wide = wide.unionByName(blank.withColumns({p: F.lit(None).cast("double") for p in params}))
+    return placed.join(wide, spot).select(*carried, "obs_ts", *params)
 
 
 def multi_point_units(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
@@ -98,24 +146,3 @@ def multi_point_units(store: DataFrame, sites: DataFrame, start: str, end: str,
     """The long answer with labels and units; nothing is shuffled after the join."""
     long = multi_point_long(store, sites, start, end, params, temporal, match_variant)
     return with_catalog(long, "param", temporal).select(*long.columns, "label", "unit")
-
-
-def null_skeleton(sites: DataFrame, answered: DataFrame, start: str, end: str, params: list[str],
-                  temporal: str = "daily", key: str = "site_id") -> DataFrame:
-    """Calendar rows with NULL parameters for the sites that have no row at all."""
-    silent = sites.join(answered.select(key), key, "left_anti")
-    dated = calendar(silent.withColumns({"_s": F.lit(start), "_e": F.lit(end)}), "_s", "_e", temporal).drop("_s", "_e")
-    return dated.withColumns({p: F.lit(None).cast("double") for p in params})
-
-
-def multi_point_complete(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
-                         temporal: str = "daily", match_variant: bool = True) -> DataFrame:
-    """Wide series of every site; silent sites get a NULL calendar."""
-    found = multi_point(store, sites, start, end, params, temporal, match_variant)
-    carried = [c for c in SITE_COLUMNS if c in sites.columns]
-    # Which sites answered needs only the held cells, not a second copy of the
-    # answer; the distinct collapses each cell's history before the shuffle.
-    cells = site_cells(sites, params, match_variant).select("site_id", *CELL_KEY)
-    held = select_window(store, temporal, params, start, end).select(*CELL_KEY).distinct()
-    answered = cells.join(held, CELL_KEY, "left_semi")
-    return found.unionByName(null_skeleton(sites.select(*carried), answered, start, end, params, temporal))

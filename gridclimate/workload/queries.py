@@ -325,8 +325,8 @@ select site_id, lat, lon, name, elevation, cast(d.d as timestamp), null::double,
 from v_points p, (select unnest(generate_series(date '{START}', date '{END}', interval 1 day)) as d) d
 where site_id not in (select site_id from hit)""")
 def null_skeleton(spark, sf_dir):
-    return points.multi_point_complete(v.store(spark, sf_dir), v.view(spark, sf_dir, "v_points"), START, END,
-                                       ["T2M", "WS10M"], match_variant=False)
+    return points.multi_point(v.store(spark, sf_dir), v.view(spark, sf_dir, "v_points"), START, END,
+                              ["T2M", "WS10M"], match_variant=False, calendar_if_silent=True)
 
 
 # --- summaries --------------------------------------------------------------------------

@@ -56,13 +56,30 @@ def test_multi_point_and_skeleton(spark):
                                    (4, 50.0, 50.0, "silent", None), (1, 10.0, 20.0, "a", None)], SITES)
     out = points.multi_point_long(store, sites, "2023-01-01", "2023-01-02", ["T2M"])
     assert out.count() == 8 and out.select("lat").distinct().count() == 3
-    full = points.multi_point_complete(store, sites.distinct(), "2023-01-01", "2023-01-02", ["T2M", "PS"])
+    full = points.multi_point(store, sites.distinct(), "2023-01-01", "2023-01-02", ["T2M", "PS"], calendar_if_silent=True)
     got = {(r["site_id"], r["obs_ts"].day): (r["T2M"], r["PS"]) for r in full.collect()}
     assert len(got) == 8 and got[(3, 1)] == got[(1, 1)] == (0.0, None) and got[(4, 2)] == (None, None) and got[(2, 2)] == (101.0, None)
+    twice = points.multi_point(store, sites, "2023-01-01", "2023-01-02", ["T2M"])
+    assert twice.count() == 8
     units = points.multi_point_units(store, sites, "2023-01-01", "2023-01-01", ["RH2M"]).first()
     assert units["unit"] == "%"
 
 
+def test_two_grids_in_one_answer(spark):
+    """Sites sharing the coarse cell but not the fine one, and the reverse."""
+    random.seed(2)
+    places = [(round(random.uniform(0, 3), 2), round(random.uniform(0, 3), 2)) for _ in range(40)]
+    store = make_store(spark, places, ("T2M", "ALLSKY_SFC_SW_DWN"), days=2).groupBy(
+        "temporal", "param", "cell_lat", "cell_lon", "variant", "obs_ts").agg(F.max("value").alias("value"))
+    sites = spark.createDataFrame([(i, la, lo, None, None) for i, (la, lo) in enumerate(places)], SITES)
+    params = ["ALLSKY_SFC_SW_DWN", "T2M"]
+    wide = points.multi_point(store, sites, "2023-01-01", "2023-01-02", params)
+    long = points.multi_point_long(store, sites, "2023-01-01", "2023-01-02", params)
+    want = {(r["site_id"], r["obs_ts"], r["param"]): r["value"] for r in long.collect()}
+    got = {(r["site_id"], r["obs_ts"], p): r[p] for r in wide.collect() for p in params}
+    assert wide.columns[-2:] == params and got == want and len(got) == 160
+
+
 def test_variants_do_not_mix(spark):
     base = make_store(spark, [(10.0, 20.0)])
     high = make_store(spark, [(10.0, 20.0)], variant="elev=500.0").withColumn("value", F.lit(-1.0))
