@@ -23,9 +23,15 @@ def resolve_format(path: str, fmt: str | None = None) -> str:
     return implied or asked or "csv"
 
 
-def write_result(df: DataFrame, path: str, fmt: str | None = None, mode: str = "errorifexists") -> str:
-    """Write a result as a directory of part files; returns the format used."""
+def write_result(df: DataFrame, path: str, fmt: str | None = None, mode: str = "errorifexists",
+                 order_by: list[str] | None = None) -> str:
+    """Write a result as a directory of part files; returns the format used.
+
+    `order_by` sorts here, at the very end: the part files follow one another.
+    """
     resolved = resolve_format(path, fmt)
+    if order_by:
+        df = df.orderBy(*order_by)
     writer = df.write.mode(mode)
     if resolved == "csv":
         writer.option("header", True).csv(path)

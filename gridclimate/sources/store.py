@@ -107,24 +107,24 @@ class ObservationStore:
         `ingest_seq`, larger for later appends.
         """
         seq = int(time.time() * 1e6) if seq is None else seq
-        row_key = [*ROW_KEY, "year"]
-        incoming = batch.select(*ROW_KEY, "value", order, F.year("obs_ts").alias("year"))
         first = fill_null_merge if self.on_conflict == "fill_null" else keep_first
+        incoming = first(batch.select(*ROW_KEY, "value", order), ROW_KEY, order).drop(order)
         # Read three times below; a lost executor only means recomputing a part.
-        incoming = first(incoming, row_key, order).drop(order).persist(StorageLevel.MEMORY_AND_DISK)
+        incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # A handful of partition values (catalogue codes x years) bounds the scan.
-            span = incoming.agg(F.min("year"), F.max("year"), F.collect_set("param")).first()
+            year = F.year("obs_ts")
+            span = incoming.agg(F.min(year), F.max(year), F.collect_set("param")).first()
             if span[0] is None:
                 return
             held = (self.rows().where(F.col("year").between(span[0], span[1]))
                     .where(F.col("param").isin(span[2])))
             if self.on_conflict == "fill_null":
-                known = not_held(incoming.where("value is not null"), held.where("value is not null"), row_key)
-                fresh = known.unionByName(not_held(incoming.where("value is null"), held, row_key))
+                known = not_held(incoming.where("value is not null"), held.where("value is not null"), ROW_KEY)
+                fresh = known.unionByName(not_held(incoming.where("value is null"), held, ROW_KEY))
             else:
-                fresh = not_held(incoming, held, row_key)
-            out = fresh.withColumn("ingest_seq", F.lit(seq).cast("bigint"))
+                fresh = not_held(incoming, held, ROW_KEY)
+            out = fresh.withColumns({"ingest_seq": F.lit(seq).cast("bigint"), "year": year})
             # Rebalance splits a parameter-year that is too big for one file and
             # joins small ones; the sort gives tight row-group statistics.
             (out.hint("rebalance", *PARTITIONS)

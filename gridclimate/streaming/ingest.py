@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from gridclimate.functions.dates import clock_micros
 from gridclimate.functions.grid import with_cell
 from gridclimate.sources.responses import ingest_point
 from gridclimate.sources.store import ROW_KEY, ObservationStore
@@ -50,5 +51,10 @@ def stream_into_store(stream: DataFrame, store: ObservationStore, checkpoint: st
 
 
 def drop_repeats(rows: DataFrame, keys: list[str], stamp: str, delay: str) -> DataFrame:
-    """Keep the first arrival per key; state is dropped once the watermark passes."""
-    return rows.withWatermark(stamp, delay).dropDuplicatesWithinWatermark(keys)
+    """Keep the first arrival per key; state is dropped once the watermark passes.
+
+    A watermark needs a zoned stamp, so a naive one is read as UTC on the side.
+    """
+    instant = F.timestamp_micros(clock_micros(F.col(stamp), rows.schema[stamp].dataType))
+    return (rows.withColumn("_event_time", instant).withWatermark("_event_time", delay)
+            .dropDuplicatesWithinWatermark(keys).drop("_event_time"))

@@ -56,8 +56,8 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys left after dropping repeats inside the stream."""
     folder = run_folder(spark, "arrivals")
-    rows = event_stream(spark, sf_dir).withColumn("obs_ts", F.col("obs_date").cast("timestamp"))
-    kept = drop_repeats(rows, ["site_id", "param", "obs_ts"], "obs_ts", "40 days")
+    rows = event_stream(spark, sf_dir)
+    kept = drop_repeats(rows, ["site_id", "param", "obs_date"], "ts", "2 days")
     (kept.select("site_id", "param", "obs_date").writeStream.format("parquet").option("path", folder + "/out")
      .option("checkpointLocation", folder + "/checkpoint").trigger(availableNow=True).start().awaitTermination())
     return spark.read.schema("site_id bigint, param string, obs_date date").parquet(folder + "/out")

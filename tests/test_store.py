@@ -3,6 +3,7 @@ import glob
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from gridclimate.operators.merge import keep_first, merge_keep_first, union_columns
 from gridclimate.sources.sinks import resolve_format, write_result
@@ -93,6 +94,9 @@ def test_sinks(spark, tmp_path):
     assert written("o.csv").startswith("date,name,T2M\n")
     assert write_result(df, str(tmp_path / "o"), "parquet") == "parquet"
     assert spark.read.parquet(str(tmp_path / "o")).first()["T2M"] == 2.5
+    many = spark.range(100).select((99 - F.col("id")).alias("n"))
+    write_result(many, str(tmp_path / "s.csv"), order_by=["n"])
+    assert [line for line in written("s.csv").split() if line != "n"] == [str(i) for i in range(100)]
 
 
 def landed(value, day="20230101", lat=10.0, lon=20.0):
@@ -123,9 +127,10 @@ def test_stream_ingest_twice(spark, shared, tmp_path):
     assert content(store) == want
 
 
-def test_drop_repeats(spark, tmp_path):
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_drop_repeats(spark, tmp_path, kind):
     inbox = tmp_path / "in"
-    schema = "k int, obs_ts timestamp, value double"
+    schema = f"k int, obs_ts {kind}, value double"
     for i, batch in enumerate([[(1, D(2023, 1, 1), 1.0), (2, D(2023, 1, 1), 2.0)], [(1, D(2023, 1, 1), 3.0), (1, D(2023, 1, 2), 4.0)]]):
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(str(inbox))
         stream = spark.readStream.schema(schema).parquet(str(inbox))
