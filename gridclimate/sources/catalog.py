@@ -110,8 +110,23 @@ def catalog_rows() -> list[tuple]:
 
 
 def catalog(spark: SparkSession) -> DataFrame:
-    """Parameter catalogue as a table (18 rows)."""
-    return spark.createDataFrame(catalog_rows(), CATALOG_SCHEMA)
+    """Parameter catalogue as a table (18 rows), folded into the plan as literals."""
+    def literal(value) -> str:
+        if value is None:
+            return "null"
+        if isinstance(value, bool):
+            return str(value).lower()
+        if isinstance(value, str):
+            return "'" + value.replace("'", "\\'") + "'"
+        if isinstance(value, list):
+            return "array(" + ", ".join(map(literal, value)) + ")"
+        if isinstance(value, tuple):
+            return "struct(" + ", ".join(map(literal, value)) + ")"
+        return f"{value}e0" if isinstance(value, float) else str(value)
+
+    rows = ", ".join("(" + ", ".join(map(literal, row)) + ")" for row in catalog_rows())
+    table = spark.sql(f"select * from values {rows}")
+    return table.select(*[F.col(c).cast(f.dataType).alias(f.name) for c, f in zip(table.columns, CATALOG_SCHEMA)])
 
 
 def catalog_group(spark: SparkSession, group: str = "default", strict: bool = False) -> DataFrame:
