@@ -537,7 +537,7 @@ def failure_sample(spark, sf_dir):
 # --- coordinates and dates ----------------------------------------------------------------
 
 @query("sites_standardise", """
-select site_id, round(case when lat_expected is not null and ok then lat_expected end, 9) as lat,
+select site_id, round(case when lat_expected is not null and ok then lat_expected end, 9) + 0 as lat,
        case when lat_expected is not null and ok then lon_expected end as lon,
        case when style = 1 then 'number' when style = 0 then 'dd,dd' when style = 2 then 'ddm,dd'
             when style in (3, 4, 5, 6) then 'dms,dd' end as coord_format,
@@ -547,18 +547,18 @@ from (select *, lon_expected <= 180 as ok from v_coord_text) t""")
 def sites_standardise(spark, sf_dir):
     text = v.view(spark, sf_dir, "v_coord_text").select(
         "site_id", F.col("lat_text").alias("lat"), F.col("lon_text").alias("lon"))
-    return coord.standardise_sites(text).select("site_id", F.round("lat", 9).alias("lat"), "lon",
+    return coord.standardise_sites(text).select("site_id", (F.round("lat", 9) + 0.0).alias("lat"), "lon",
                                                 "coord_format", "coord_warning", "coord_error")
 
 
 def _parsed(spark: SparkSession, sf_dir: str, notation: str) -> DataFrame:
     text = v.view(spark, sf_dir, "v_coord_text").select("site_id", "lat_text")
     return coord.parse_column(text, "lat_text", True, "lat", (notation,)).select(
-        "site_id", F.round("lat", 9).alias("lat"), F.col("lat_clash").alias("sign_clash"))
+        "site_id", (F.round("lat", 9) + 0.0).alias("lat"), F.col("lat_clash").alias("sign_clash"))
 
 
 def _parse_twin(styles: str) -> str:
-    return (f"select site_id, case when style in ({styles}) then round(lat_expected, 9) end as lat,"
+    return (f"select site_id, case when style in ({styles}) then round(lat_expected, 9) + 0 end as lat,"
             f" style in ({styles}) and style = 6 and try_cast(split_part(substr(lat_text, 2), chr(176), 1) as int) > 0"
             " as sign_clash from v_coord_text")
 
