@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +58,17 @@ def utc_naive(ts: Column) -> Column:
     return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01").cast(NTZ))
 
 
+def iso_bound(bound) -> str:
+    """A window bound given by the caller as ISO text; slash dates are refused."""
+    text = str(bound).strip()
+    if re.match(SLASH_DATE, text):
+        raise ValueError(f"ambiguous date {text!r}; use YYYY-MM-DD")
+    if re.match(COMPACT_DAY, text):
+        text = f"{text[:4]}-{text[4:6]}-{text[6:]}"
+    datetime.fromisoformat(text)
+    return text
+
+
 def parse_dates(df: DataFrame, column: str, out: str = "date") -> DataFrame:
     """Add `out` and `out_error`: `ambiguous date`, `unreadable date` or NULL."""
     text = F.col(column)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclimate.functions.dates import calendar
+from gridclimate.functions.dates import calendar, iso_bound
 from gridclimate.functions.grid import cell_lat_index, cell_lon_index, variant_of, with_cell
 from gridclimate.sources.catalog import SOLAR, with_catalog
 from gridclimate.sources.store import select_window
@@ -135,7 +135,8 @@ def multi_point(store: DataFrame, sites: DataFrame, start: str, end: str, params
         # Which spots are held needs only the distinct cells; the distinct
         # collapses each cell's history before the shuffle.
         held = asked.join(window.select(*CELL_KEY).distinct(), CELL_KEY, "left_semi").select(*spot)
-        silent = spots.join(held, spot, "left_anti").withColumns({"_s": F.lit(start), "_e": F.lit(end)})
+        silent = spots.join(held, spot, "left_anti").withColumns(
+            {"_s": F.lit(iso_bound(start)), "_e": F.lit(iso_bound(end))})
         blank = calendar(silent, "_s", "_e", temporal).drop("_s", "_e")
         wide = wide.unionByName(blank.withColumns({p: F.lit(None).cast("double") for p in params}))
     return placed.join(wide, spot).select(*carried, "obs_ts", *params)

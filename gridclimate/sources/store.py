@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridclimate.functions.dates import iso_bound
 from gridclimate.operators.merge import fill_null_merge, keep_first, new_rows, not_held
 
 KEY = ["temporal", "param", "cell_lat", "cell_lon", "variant"]
@@ -51,15 +52,16 @@ def select_window(obs: DataFrame, temporal: str | None = None, params: list[str]
     for bound, low in ((start, True), (end, False)):
         if bound is None:
             continue
-        stamp = F.lit(str(bound)).cast("timestamp_ntz")
+        text = iso_bound(bound)
+        stamp = F.lit(text).cast("timestamp_ntz")
         if low:
             obs = obs.where(F.col("obs_ts") >= stamp)
-        elif end_of_day and len(str(bound)) == 10:
+        elif end_of_day and len(text) == 10:
             obs = obs.where(F.col("obs_ts") < stamp + F.expr("interval 24 hours"))
         else:
             obs = obs.where(F.col("obs_ts") <= stamp)
         if "year" in obs.columns:
-            year = int(str(bound)[:4])
+            year = int(text[:4])
             obs = obs.where(F.col("year") >= year if low else F.col("year") <= year)
     return obs
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from gridclimate.functions.dates import calendar, ensure_date_column, parse_dates
+from gridclimate.functions.dates import calendar, ensure_date_column, iso_bound, parse_dates
 
 D = dt.datetime
 
@@ -48,3 +48,11 @@ def test_calendar(spark):
     df = spark.createDataFrame([(D(2023, 1, 1), D(2023, 1, 2))], "s timestamp_ntz, e timestamp_ntz")
     assert calendar(df, "s", "e").count() == 2
     assert calendar(df, "s", "e", "hourly").agg(F.count("*")).first()[0] == 25
+
+
+def test_window_bounds():
+    assert iso_bound("20230105") == iso_bound(dt.date(2023, 1, 5)) == iso_bound(" 2023-01-05 ") == "2023-01-05"
+    assert iso_bound(D(2023, 1, 5, 3)) == "2023-01-05 03:00:00"
+    for bad in ("05/01/2023", "soon", "20231399"):
+        with pytest.raises(ValueError):
+            iso_bound(bad)
