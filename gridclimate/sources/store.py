@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridclimate.functions.dates import iso_bound
+from gridclimate.functions.text import format_bytes
 from gridclimate.operators.merge import fill_null_merge, keep_first, new_rows, not_held
 
 KEY = ["temporal", "param", "cell_lat", "cell_lon", "variant"]
@@ -85,14 +86,22 @@ class ObservationStore:
             raise ValueError("on_conflict must be 'keep_first' or 'fill_null'")
         self.spark, self.path, self.on_conflict = spark, path, on_conflict
 
-    def rows(self) -> DataFrame:
-        """Stored rows as they are; empty before the first append."""
+    def _files(self) -> DataFrame | None:
+        """The stored files, or nothing before the first append."""
         try:
             return self.spark.read.schema(STORE_SCHEMA).parquet(self.path)
         except AnalysisException as err:
             if err.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], STORE_SCHEMA)
+            return None
+
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], STORE_SCHEMA)
+
+    def rows(self) -> DataFrame:
+        """Stored rows as they are; empty before the first append."""
+        stored = self._files()
+        return self._empty() if stored is None else stored
 
     def read(self, temporal: str | None = None, params: list[str] | None = None,
              start: datetime | str | None = None, end: datetime | str | None = None) -> DataFrame:
@@ -139,10 +148,21 @@ class ObservationStore:
         return coverage(self.read())
 
     def stats(self) -> DataFrame:
-        """Entries (keys), rows, oldest and newest stamp, and bytes in values."""
-        return self.rows().agg(
-            F.count_distinct(*KEY).alias("entries"), F.count("*").alias("row_count"),
-            F.min("obs_ts").alias("oldest"), F.max("obs_ts").alias("newest"))
+        """One row: entries (keys), rows, oldest and newest stamp, file bytes and their display."""
+        stored = self._files()
+        if stored is None:
+            rows = self._empty().withColumns({"_path": F.lit(""), "_size": F.lit(0)})
+        else:
+            rows = stored.withColumns({"_path": F.col("_metadata.file_path"), "_size": F.col("_metadata.file_size")})
+        files = rows.groupBy("_path").agg(
+            F.count("*").alias("n"), F.min("obs_ts").alias("lo"), F.max("obs_ts").alias("hi"), F.max("_size").alias("size"))
+        totals = files.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.min("lo").alias("oldest"),
+                           F.max("hi").alias("newest"), F.coalesce(F.sum("size"), F.lit(0)).alias("total_bytes"))
+        entries = rows.select(*KEY).distinct().agg(F.count("*").alias("entries"))
+        # Two single-row tables folded into one row.
+        both = totals.unionByName(entries, allowMissingColumns=True)
+        return (both.agg(*[F.max(c).alias(c) for c in ("entries", "row_count", "oldest", "newest", "total_bytes")])
+                .withColumn("total_size", format_bytes(F.col("total_bytes"))))
 
 
 def upsert(held: DataFrame, batch: DataFrame, keys: list[str], order: str) -> DataFrame:

@@ -90,6 +90,33 @@ def test_variants_do_not_mix(spark):
     assert one.first()["T2M"] == -1.0
 
 
+@pytest.mark.parametrize("broadcast", ["-1", "10MB"])
+def test_hot_cell_keeps_every_row(spark, broadcast):
+    """A third of the sites in one cell, with skew splitting forced on."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": broadcast, "spark.sql.adaptive.autoBroadcastJoinThreshold": broadcast,
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1KB"}
+    random.seed(9)
+    places = [(10.0, 20.0)] + [(round(random.uniform(-80, 80), 2), round(random.uniform(-170, 170), 2)) for _ in range(30)]
+    store = make_store(spark, places, ("T2M", "RH2M"), days=4).dropDuplicates(["param", "cell_lat", "cell_lon", "obs_ts"])
+    sites = spark.createDataFrame([(i, *places[0 if i % 3 == 0 else i % 31], f"s{i}", None) for i in range(3000)], SITES)
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        wide = points.multi_point(store, sites, "2023-01-02", "2023-01-03", ["T2M", "RH2M"])
+        long = points.multi_point_long(store, sites, "2023-01-02", "2023-01-03", ["T2M", "RH2M"])
+        got = {(r["site_id"], r["obs_ts"]): r["T2M"] for r in wide.collect()}
+        assert len(got) == 6000 == wide.count() and long.count() == 12000
+        assert {r["T2M"] for r in wide.where("site_id % 3 = 0").collect()} == {1.0, 2.0}
+        want = {(r["site_id"], r["obs_ts"]): r["value"] for r in long.where("param = 'T2M'").collect()}
+        assert got == want
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 LINE = ("transect_id int, lat1 double, lon1 double, lat2 double, lon2 double, num_points int, spacing_km double,"
         " params array<string>")
 

@@ -24,7 +24,7 @@ def content(store, **kw):
 
 def test_append_is_keep_first_and_idempotent(spark, shared):
     store = ObservationStore(spark, shared + "/obs")
-    assert store.read().count() == 0
+    assert store.read().count() == 0 and store.stats().first()["total_size"] == "0.00 B"
     first = rows(spark, ("T2M", 1, 2, D(2023, 1, 1), 5.0), ("T2M", 1, 2, D(2023, 1, 1), 6.0), ("T2M", 1, 2, D(2023, 1, 2), None))
     store.append(first, order="rank", seq=1)
     store.append(first, order="rank", seq=2)
@@ -35,7 +35,8 @@ def test_append_is_keep_first_and_idempotent(spark, shared):
     cover = {r["param"]: (r["held_min"], r["held_max"], r["held_rows"]) for r in store.coverage().collect()}
     assert cover["T2M"] == (D(2023, 1, 1), D(2024, 1, 3), 3)
     stats = store.stats().first()
-    assert (stats["entries"], stats["row_count"]) == (2, 4)
+    assert (stats["entries"], stats["row_count"], stats["oldest"]) == (2, 4, D(2023, 1, 1))
+    assert stats["total_bytes"] > 0 and stats["total_size"].endswith("iB")
     store.append(first.where("1 = 0"), order="rank")
 
 
