@@ -45,23 +45,22 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
                     also: list[Column] | None = None) -> DataFrame:
     """Exact quantiles (linear interpolation) per group, without gathering a group.
 
-    Repeated values are counted before the shuffle. A quantile sketch then gives
-    cut points just around each wanted rank, the exact row counts between the
-    cuts say which slice holds a rank, and only those slices are ordered. The
-    cuts decide how much is sorted, never the answer. `also` holds further
-    aggregates, computed in the sketch pass.
+    Repeated values are counted before the only large shuffle. A sketch over the
+    distinct values cuts them into slices of about equal size, exact row counts
+    per slice say which slice holds a wanted rank, and only those slices are
+    ordered. The cuts bound how much one task sorts, never the answer. `also`
+    holds further aggregates over the group.
     """
-    margin, accuracy = 0.001, 20000
-    cuts = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-margin, margin)})
-    summary = df.groupBy(*groups).agg(
-        F.percentile_approx(value, cuts, accuracy).alias("_cuts"), F.count(value).alias("_n"), *(also or []))
-    sketch = summary.select(*groups, "_cuts", "_n")
-    slice_no = sum((F.when(F.col("_v") > F.col("_cuts")[i], 1).otherwise(0) for i in range(len(cuts))), F.lit(0))
+    n_slices, accuracy = 64, 2000
     counted = (df.where(F.col(value).isNotNull()).groupBy(*groups, F.col(value).alias("_v"))
                .agg(F.count("*").alias("_c")))
+    cuts = [i / n_slices for i in range(1, n_slices)]
+    sketch = counted.groupBy(*groups).agg(
+        F.percentile_approx("_v", cuts, accuracy).alias("_cuts"), F.sum("_c").alias("_n"))
+    slice_no = F.size(F.filter("_cuts", lambda c: c < F.col("_v")))
     sliced = counted.join(sketch, groups).withColumn("_s", slice_no).drop("_cuts")
 
-    # At most len(cuts) + 1 slices per group.
+    # At most n_slices rows per group.
     before = Window.partitionBy(*groups).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)
     slices = (sliced.groupBy(*groups, "_n", "_s").agg(F.sum("_c").alias("_rows"))
               .withColumn("_skip", F.coalesce(F.sum("_rows").over(before), F.lit(0))))
@@ -85,7 +84,7 @@ def exact_quantiles(df: DataFrame, groups: list[str], value: str, probs: dict[st
     found = placed.groupBy(*groups, "_n").agg(*picks).select(*groups, *[
         (F.col(f"{name}_lo") + (F.col(f"{name}_hi") - F.col(f"{name}_lo")) * part).alias(name)
         for name, (_, _, part) in ranks.items()])
-    return summary.drop("_cuts", "_n").join(found, groups, "left")
+    return df.groupBy(*groups).agg(*also).join(found, groups, "left") if also else found
 
 
 def describe_params(obs: DataFrame) -> DataFrame:
