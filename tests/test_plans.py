@@ -254,6 +254,19 @@ def test_query_plans(spark, sf, name):
     assert len(set(df.columns)) == len(df.columns)
 
 
+def test_no_side_has_to_be_small(spark, sf):
+    """With broadcasting off, every batch query still joins on keys."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, fn in QUERIES.items():
+            if not name.startswith("stream"):
+                text = plan_text(fn(spark, sf))
+                assert "NestedLoop" not in text and "Cartesian" not in text, name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
     assert entry.entry(spark).count() > 0 and set(entry.queries()) == set(entry.oracle_sql())
