@@ -67,11 +67,24 @@ def _failure_reason() -> Column:
             .when(F.col("_doc.error").isNotNull(), F.col("_doc.error")))
 
 
-def response_errors(df: DataFrame, kind: str = "point") -> DataFrame:
-    """Responses that hold no data, with a `reason`."""
+def response_errors(df: DataFrame, kind: str = "point", place: bool = False) -> DataFrame:
+    """Responses that hold no data, with a `reason`.
+
+    With `place`, a point body without coordinates is an error too.
+    """
     parsed = _parsed(df, POINT_JSON if kind == "point" else REGION_JSON)
-    return (parsed.withColumn("reason", _failure_reason()).where("reason is not null")
-            .drop("_doc", "body"))
+    reason = _failure_reason()
+    if place:
+        spot = F.size("_doc.geometry.coordinates")
+        reason = F.coalesce(reason, F.when(F.coalesce(spot, F.lit(-1)) < 2, F.lit("no coordinates")))
+    return parsed.withColumn("reason", reason).where("reason is not null").drop("_doc", "body")
+
+
+def quarantine(df: DataFrame, place: bool = False) -> DataFrame:
+    """Everything point ingest leaves out: `response_id, param, date_key, reason`."""
+    whole = response_errors(df, place=place).select("response_id", "reason")
+    keys = bad_date_keys(df).select("response_id", "param", "date_key", "reason")
+    return keys.unionByName(whole, allowMissingColumns=True)
 
 
 def _date_columns(key: Column) -> dict[str, Column]:

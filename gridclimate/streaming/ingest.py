@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridclimate.functions.dates import clock_micros
 from gridclimate.functions.grid import with_cell
-from gridclimate.sources.responses import ingest_point
+from gridclimate.sources.responses import ingest_point, quarantine
 from gridclimate.sources.store import ROW_KEY, ObservationStore
 
 
@@ -41,9 +41,16 @@ def checkpoint_path(spark: SparkSession, name: str, fallback: str | None = None)
     return f"{base.rstrip('/')}/{name}"
 
 
-def stream_into_store(stream: DataFrame, store: ObservationStore, checkpoint: str) -> StreamingQuery:
-    """Append everything that has landed, then stop. Earlier file names win within a batch."""
-    def write(batch: DataFrame, _epoch: int) -> None:
+def stream_into_store(stream: DataFrame, store: ObservationStore, checkpoint: str,
+                      rejects: str | None = None) -> StreamingQuery:
+    """Append everything that has landed, then stop. Earlier file names win within a batch.
+
+    `rejects` names a folder for what cannot be used. Each batch overwrites its
+    own subfolder there, so a replayed batch leaves no second copy.
+    """
+    def write(batch: DataFrame, epoch: int) -> None:
+        if rejects:
+            quarantine(batch, place=True).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={epoch}")
         store.append(responses_to_rows(batch), order="response_id")
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

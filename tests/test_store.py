@@ -113,11 +113,16 @@ def test_stream_ingest_twice(spark, shared, tmp_path):
     store = ObservationStore(spark, shared + "/obs")
     check = shared + "/ingest"
 
+    (inbox / "nowhere.json").write_text(json.dumps({"properties": {"parameter": {"T2M": {"20230101": 1.0}}}}))
+    (inbox / "odd.json").write_text(landed(1.0, "202301"))
+
     def run(folder):
-        stream_into_store(response_stream(spark, str(inbox)), store, folder).awaitTermination()
+        stream_into_store(response_stream(spark, str(inbox)), store, folder, folder + "-rejects").awaitTermination()
 
     run(check)
     assert content(store) == [("T2M", 200, D(2023, 1, 1), None)]
+    rejects = {r["response_id"].split("/")[-1]: r["reason"] for r in spark.read.parquet(check + "-rejects").collect()}
+    assert rejects == {"bad.json": "not JSON", "nowhere.json": "no coordinates", "odd.json": "unrecognised date key"}
     (inbox / "c.json").write_text(landed(3.0))
     (inbox / "d.json").write_text(landed(4.0, "20230102"))
     run(check)
