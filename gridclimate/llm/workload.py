@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridclimate.llm.common import table
+from gridclimate.llm.decontaminate import contamination
 from gridclimate.llm.near_dedup import near_duplicates
 
 
@@ -13,8 +14,14 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in passages of the benchmark."""
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_decontamination": op2_decontamination,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
@@ -26,7 +33,7 @@ with recursive words as (
     select doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
 grams as (
     select doc_id, unnest(case when len(w) = 0 or w is null then [] when len(w) < 4 then [array_to_string(w, ' ')]
-        else list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' ')) end) as g from words),
+        else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as g from words),
 sets as (select distinct doc_id, g from grams),
 sizes as (select doc_id, count(*) as n from sets group by doc_id),
 links as (
@@ -38,4 +45,22 @@ reach(doc_id, other) as (
 select d.doc_id, coalesce(s.n, 0)::bigint as n_shingles, r.component_id, d.doc_id = r.component_id as kept
 from documents d left join sizes s using (doc_id)
 join (select doc_id, min(other) as component_id from reach group by doc_id) r using (doc_id)""",
+    "op2_decontamination": f"""
+with d as (select doc_id, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+i as (select item_id, regexp_extract_all({LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+windows as (
+    select item_id, least(13, len(w)) as n, unnest(list_transform(range(1, greatest(len(w) - 12, 1) + 1), lambda k: array_to_string(w[k:k + 12], ' '))) as g
+    from i where len(w) > 0),
+spans as (
+    select d.doc_id, s.k as k, x.n as n, x.item_id from d, (select distinct n from windows) l,
+        lateral (select unnest(range(1, greatest(len(d.w) - l.n + 2, 1))) as k) s
+        join windows x on x.n = l.n and x.g = array_to_string(d.w[s.k:s.k + l.n - 1], ' ')),
+hits as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(k, k + n)) as p from spans) group by doc_id),
+listed as (
+    select doc_id, count(*) as n_items, string_agg(item_id::varchar, ',' order by item_id::varchar) as items
+    from (select distinct doc_id, item_id from spans) group by doc_id)
+select d.doc_id, coalesce(len(d.w), 0)::bigint as n_words, coalesce(h.n_hit, 0)::bigint as n_hit, coalesce(l.n_items, 0)::bigint as n_items,
+    sha256(coalesce(l.items, '')) as items_sha256,
+    coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= coalesce(len(d.w), 0) as contaminated
+from d left join hits h using (doc_id) left join listed l using (doc_id)""",
 }
