@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
 from gridclimate.llm.near_dedup import near_duplicates
+from gridclimate.llm.quality_rules import quality_rules
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +20,16 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and log-likelihood ratio of every document; trusted are those labelled as of good quality."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op5_quality_rules": op5_quality_rules,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
