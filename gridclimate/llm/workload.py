@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
 from gridclimate.llm.near_dedup import near_duplicates
+from gridclimate.llm.quality_model import quality
 from gridclimate.llm.quality_rules import quality_rules
+from gridclimate.llm.toxicity import toxicity
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,16 +22,28 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and log-likelihood ratio of every document; trusted are those labelled as of good quality."""
     trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     return quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op7_quality_classifier": op7_quality_classifier,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
