@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
 from gridclimate.llm.near_dedup import near_duplicates
+from gridclimate.llm.packing import packed_index
 from gridclimate.llm.quality_model import quality
 from gridclimate.llm.quality_rules import quality_rules
 from gridclimate.llm.toxicity import toxicity
@@ -38,12 +39,18 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 2048 tokens."""
+    return packed_index(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
+    "op9_packing": op9_packing,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
