@@ -174,11 +174,16 @@ def text_shingles(words: np.ndarray, counts: np.ndarray, n: int) -> Iterator[np.
         at += count
 
 
-def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """`mapInArrow` whose workers find this package where the driver has it, or where the cluster has installed it."""
-    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+def use_package(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, if the cluster has not installed it."""
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
+def mapped(df: DataFrame, function, schema: str) -> DataFrame:
+    """`mapInArrow` whose workers find this package."""
+    use_package(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -10,6 +10,7 @@ from gridclimate.llm.near_dedup import near_duplicates
 from gridclimate.llm.packing import packed_index
 from gridclimate.llm.quality_model import quality
 from gridclimate.llm.quality_rules import quality_rules
+from gridclimate.llm.token_shards import token_shards
 from gridclimate.llm.toxicity import toxicity
 
 
@@ -23,6 +24,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token records in training order, read back from the shards."""
+    return token_shards(table(spark, sf_dir, "documents"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -47,6 +53,7 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
+    "op3_token_shards": op3_token_shards,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
     "op7_quality_classifier": op7_quality_classifier,
