@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridclimate.llm.chat import chat_digest
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
 from gridclimate.llm.near_dedup import near_duplicates
@@ -12,6 +13,7 @@ from gridclimate.llm.quality_model import quality
 from gridclimate.llm.quality_rules import quality_rules
 from gridclimate.llm.token_shards import token_shards
 from gridclimate.llm.toxicity import toxicity
+from gridclimate.llm.warc import page_captures
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,11 +42,24 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"), trusted)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages as WARC captures, read back from the archives."""
+    return page_captures(table(spark, sf_dir, "pages"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document."""
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one whose texts imitate the template, formatted and read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame([(-7, i, role, "\\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))],
+                                 "conv_id long, turn long, role string, text string")
+    return chat_digest(rows.unionByName(trap))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
     return packed_index(table(spark, sf_dir, "documents"))
@@ -56,7 +71,9 @@ QUERIES = {
     "op3_token_shards": op3_token_shards,
     "op4_toxicity": op4_toxicity,
     "op5_quality_rules": op5_quality_rules,
+    "op6_warc": op6_warc,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_chat": op8_chat,
     "op9_packing": op9_packing,
 }
 
@@ -99,4 +116,22 @@ select d.doc_id, coalesce(len(d.w), 0)::bigint as n_words, coalesce(h.n_hit, 0):
     sha256(coalesce(l.items, '')) as items_sha256,
     coalesce(h.n_hit, 0) > 0 and 20 * coalesce(h.n_hit, 0) >= coalesce(len(d.w), 0) as contaminated
 from d left join hits h using (doc_id) left join listed l using (doc_id)""",
+    "op6_warc": """
+with p as (select page_id, sha256(coalesce(html, '')) as d, strlen(coalesce(html, ''))::bigint as n from pages),
+f as (select *, case when n >= 100 then min(page_id) over (partition by d, n >= 100) else page_id end as first from p)
+select page_id, n as payload_bytes, d as payload_digest, case when first = page_id then 'response' else 'revisit' end as record_type,
+    case when first <> page_id then first end as refers_to from f""",
+    "op8_chat": r"""
+with c as (
+    select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+    union all select * from (values (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+e as (
+    select *, case when contains(text, '###') or contains(text, '</turn>') or contains(text, '\\') or contains(text, '\#') or contains(text, '\/')
+        or contains(text, '\c') then replace(replace(replace(text, '\', '\\'), '###', '\#'), '</turn>', '\/') else text end as shown from c)
+select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+    coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+    sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+    sum(14 + length(role) + length(shown))::bigint as formatted_chars
+from e group by conv_id""",
 }
