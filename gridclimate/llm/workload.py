@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gridclimate.llm.chat import chat_digest
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
+from gridclimate.llm.lm_score import backoff_scores
 from gridclimate.llm.near_dedup import near_duplicates
 from gridclimate.llm.packing import packed_index
 from gridclimate.llm.quality_model import quality
@@ -65,6 +67,11 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_index(table(spark, sf_dir, "documents"))
 
 
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document."""
+    return backoff_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -75,6 +82,7 @@ QUERIES = {
     "op7_quality_classifier": op7_quality_classifier,
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
+    "op10_lm_score": op10_lm_score,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
@@ -134,4 +142,16 @@ select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
     sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
     sum(14 + length(role) + length(shown))::bigint as formatted_chars
 from e group by conv_id""",
+    "op10_lm_score": f"""
+with d as (select doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+t as (select doc_id, unnest(w) as w, unnest(range(1, len(w) + 1)) as i from d),
+g as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as v from t),
+c1 as (select w, count(*) as n from t group by w),
+c2 as (select v, w, count(*) as n from g where v is not null group by v, w having count(*) >= 2),
+s as (
+    select g.doc_id, case when c2.n is not null then ln(c2.n) - ln(h.n) when g.v is null then ln(c1.n) - ln((select count(*) from t))
+        else ln(0.4) + ln(c1.n) - ln((select count(*) from t)) end as score
+    from g join c1 on c1.w = g.w left join c2 on c2.v = g.v and c2.w = g.w left join c1 h on h.w = g.v)
+select d.doc_id, coalesce(len(d.w), 0)::bigint as n_words, round(avg(s.score), 6) as log_score
+from d left join s using (doc_id) group by d.doc_id, d.w""",
 }
