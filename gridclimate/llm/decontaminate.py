@@ -58,7 +58,7 @@ def _windows(lengths: list[int]) -> Column:
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Per row of `docs` (doc_id, text): n_words, hit spans and ids of the items (item_id, text) that occur in it."""
+    """Per row of `docs` (doc_id, text): a hash of both, n_words, hit spans and ids of the items (item_id, text) that occur in it."""
     item_words = stored(items.select("item_id", words(F.col("text")).alias("words")).where(F.size("words") > 0), "items")
     short = [r[0] for r in item_words.where(F.size("words") < WINDOW).select(F.size("words")).distinct().collect()]
     full = item_words.where(F.size("words") >= WINDOW).withColumn("own", _windows([WINDOW]))
@@ -90,7 +90,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = covered.join(listed, ["did", "th"])
     none = "cast(array() as array<{}>)"
     return met.where("own").join(found, ["did", "th"], "left").select(
-        "doc_id", "n_words", F.coalesce("spans", F.expr(none.format("struct<start:int,end:int>"))).alias("spans"),
+        "doc_id", F.col("th").alias("row_hash"), "n_words", F.coalesce("spans", F.expr(none.format("struct<start:int,end:int>"))).alias("spans"),
         F.coalesce("items", F.expr(none.format("string"))).alias("items"))
 
 
@@ -105,6 +105,6 @@ def covered_words(spans: Column) -> Column:
 def contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Per document: words, hit words, items met and the verdict (hit words are a twentieth of all or more)."""
     return benchmark_hits(docs, items).select(
-        "doc_id", "n_words", covered_words(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        "doc_id", "row_hash", "n_words", covered_words(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256")) \
         .withColumn("contaminated", F.expr("n_hit > 0 and 20 * n_hit >= n_words"))

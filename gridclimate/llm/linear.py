@@ -110,10 +110,14 @@ def fit(train: DataFrame, cells_of: CellsOf, cells: int, fit_rows: int = FIT_ROW
     return ratios, np.frombuffer(one[0], dtype=np.float32), one[1]
 
 
-def scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], cells_of: CellsOf, keep: list[str], text: str = "text") -> DataFrame:
-    """The columns `keep` of every row and its `score`, 0 to 1; a text without cells scores as the margin 0 allows, below a half."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(model)
+def scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], cells_of: CellsOf, keep: list[str], name: str = "score") -> DataFrame:
+    """The columns `keep` of every row of `docs` (text, ...) and its score, 0 to 1, under the given name.
+
+    A text without cells scores just below a half.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = docs.select("text", *[c for c in keep if c != "text"])
+    passed = [rows.columns.index(c) for c in keep]
 
     def run(batches):
         ratios, weights, slope = shared.value
@@ -122,13 +126,12 @@ def scores(docs: DataFrame, model: tuple[np.ndarray, np.ndarray, float], cells_o
         for batch in batches:
             out = []
             for own in cells_of(batch.column(0)):
-                margin = gains[own].sum() / max(np.sqrt(squares[own].sum()), 1e-12) if len(own) else -1e-6
-                out.append(1 / (1 + np.exp(-slope * margin)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out, pa.float64())], [*batch.schema.names[1:], "score"])
+                margin = gains[own].sum() / max(np.sqrt(squares[own].sum()), 1e-12) if len(own) else 0.0
+                out.append(1 / (1 + np.exp(-slope * (margin or -1e-6))))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i) for i in passed], pa.array(out, pa.float64())], [*keep, name])
 
-    rows = docs.select(F.col(text).alias("__text"), *keep)
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return mapped(rows, run, f"{fields}, score double")
+    fields = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
+    return mapped(rows, run, f"{fields}, `{name}` double")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:

@@ -20,12 +20,12 @@ from gridclimate.llm.warc import page_captures
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in passages of the benchmark."""
-    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_hash")
 
 
 def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
