@@ -12,8 +12,10 @@ SF = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    folder = tmp_path_factory.mktemp("shared")
     session = build_session("tests", "local[4]", **{
+        "spark.checkpoint.dir": f"{folder}/checkpoint", "spark.sql.warehouse.dir": f"{folder}/warehouse",
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"})
     session.sparkContext.setLogLevel("ERROR")
