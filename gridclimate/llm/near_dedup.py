@@ -11,7 +11,7 @@ The search is whole, yet never lists the pairs of a group:
 
 1. texts with equal sets collapse into one class, so copies cost nothing further;
 2. in each band bucket every class is compared with the most central class only
-   (the one that shares the largest buckets), twice, with links followed between;
+   (the one that shares the largest buckets), and links are followed;
 3. classes of buckets that still hold several components go through an exact
    prefix filter: sets with similarity s share one of their rarest shingles.
    Frequent shingles stay out of these prefixes, so this meets few rows.
@@ -41,7 +41,7 @@ BANDS, BAND_ROWS = 30, 4
 #: Ids sent to every task at most; beyond, the join shuffles.
 SMALL_IDS = 1_000_000
 #: Cells of the table that orders shingles by how frequent they are.
-RANK_CELLS = 1 << 20
+RANK_CELLS = 1 << 18
 
 
 def fast_sketch(shingles: np.ndarray, owner: np.ndarray, texts: int, bins: int) -> np.ndarray:
@@ -98,13 +98,13 @@ def sketches(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 filled = sizes > 0
                 edges = np.concatenate([[0], np.cumsum(np.where(filled, bands, 0))]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(at, len(sets)), pa.array(sizes, pa.int64()), pa.array([_digest(s) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(edges), pa.array(keys[filled].ravel()))],
-                    ["doc_id", "n_shingles", "node", "bands"])
+                    ids.slice(at, len(sets)), batch.column(2).slice(at, len(sets)), pa.array(sizes, pa.int64()),
+                    pa.array([_digest(s) for s in sets], pa.binary()), pa.ListArray.from_arrays(pa.array(edges), pa.array(keys[filled].ravel()))],
+                    ["doc_id", "text_hash", "n_shingles", "node", "bands"])
                 at += len(sets)
 
-    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-                  "doc_id long, n_shingles long, node binary, bands array<long>")
+    return mapped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash")), run,
+                  "doc_id long, text_hash long, n_shingles long, node binary, bands array<long>")
 
 
 def _set_rows(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
@@ -120,7 +120,7 @@ def _set_rows(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
                     nodes, values = [], []
             yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.binary()), pa.array(values, pa.binary())], ["node", "items"])
 
-    ids = small_side(stored(needed.select("doc_id").distinct(), "ids"), SMALL_IDS)
+    ids = small_side(needed.select("doc_id"), SMALL_IDS)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, "doc_id", "left_semi").select("text")
     return mapped(texts, run, "node binary, items binary")
 
@@ -153,21 +153,22 @@ def components(links: DataFrame, name: str) -> DataFrame:
     its smaller ones, to the smallest; the edges become stars in a logarithmic number of steps.
     """
     edges = stored(links.select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).where("hi != lo").distinct(), name)
+    before = None
     while True:
-        # large star: neighbours larger than the node go to its smallest neighbour (or itself)
+        # large star: a node's larger neighbours go to its smallest neighbour, or to itself
         both = edges.select(F.col("hi").alias("n"), F.col("lo").alias("m")).union(edges.select("lo", "hi"))
-        least = both.groupBy("n").agg(F.least(F.min("m"), F.first("n")).alias("root"))
-        large = both.where("m > n").join(least, "n").select(F.col("m").alias("hi"), F.col("root").alias("lo")).distinct()
-        # small star: smaller neighbours and the node itself go to the smallest
+        least = both.groupBy("n").agg(F.min("m").alias("root"))
+        large = both.where("m > n").join(least, "n").select(F.col("m").alias("hi"), F.least("root", "n").alias("lo")).distinct()
+        # small star: a node and its smaller neighbours go to the smallest of these
         small_least = large.groupBy("hi").agg(F.min("lo").alias("root"))
         small = large.join(small_least, "hi").select(F.explode(F.array(
             F.struct(F.col("lo").alias("hi"), F.col("root").alias("lo")), F.struct("hi", F.col("root").alias("lo")))).alias("e")) \
             .select("e.*").where("hi != lo").distinct()
-        new = stored(small, name)
-        moved = new.join(edges, ["hi", "lo"], "left_anti").limit(1).count() + edges.join(new, ["hi", "lo"], "left_anti").limit(1).count()
-        edges = new
-        if not moved:
+        edges = stored(small, name)
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))).first()
+        if now == before:
             break
+        before = now
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
 
 
@@ -175,16 +176,11 @@ def _rooted(nodes: DataFrame, roots: DataFrame) -> DataFrame:
     return nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
 
-def _star_pairs(live: DataFrame, tried: DataFrame | None) -> DataFrame:
-    """Each class of a bucket with the bucket's most central class; `live` has bucket, node, root and is stored."""
-    sizes = live.groupBy("bucket").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    rows = live.join(sizes.select("bucket", "size"), "bucket")
-    weight = rows.groupBy("node").agg(F.sum(F.log2("size")).alias("weight"))
-    rank = rows.join(weight, "node")
-    if tried is not None:
-        rank = rank.join(tried, "node", "left_anti")
-    centre = rank.groupBy("bucket").agg(F.max(F.struct("weight", "node", "root")).alias("c")).select("bucket", F.col("c.node").alias("b"), F.col("c.root").alias("b_root"))
-    return live.join(centre, "bucket").where("root != b_root").select(F.col("node").alias("a"), "b").distinct()
+def _star_pairs(live: DataFrame) -> DataFrame:
+    """Each class of a bucket with the bucket's most central class; `live` has bucket, size, node and is stored."""
+    weight = live.groupBy("node").agg(F.sum(F.log2("size")).alias("weight"))
+    centre = live.join(weight, "node").groupBy("bucket").agg(F.max(F.struct("weight", "node")).alias("c")).select("bucket", F.col("c.node").alias("b"))
+    return live.join(centre, "bucket").where("node != b").select(F.col("node").alias("a"), "b").distinct()
 
 
 def _prefix_pairs(live: DataFrame, docs: DataFrame, classes: DataFrame, roots: DataFrame, n: int, percent: int) -> DataFrame:
@@ -206,9 +202,10 @@ def _prefix_pairs(live: DataFrame, docs: DataFrame, classes: DataFrame, roots: D
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["cell", "n"])
 
-    counted = mapped(sets.select("items"), cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    counted = mapped(sets.select("items"), cells, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     rank = np.zeros(RANK_CELLS, dtype=np.int32)
-    rank[counted["cell"].to_numpy(dtype=np.int64)] = np.minimum(counted["n"].to_numpy(dtype=np.int64), 2**31 - 1)
+    for batch in counted.toArrow().to_batches():
+        rank[batch.column(0).to_numpy()] = np.minimum(batch.column(1).to_numpy(), 2**31 - 1)
     shared = live.sparkSession.sparkContext.broadcast(rank)
 
     def prefixes(batches):
@@ -240,24 +237,18 @@ def _prefix_pairs(live: DataFrame, docs: DataFrame, classes: DataFrame, roots: D
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, bands: int = BANDS, rows: int = BAND_ROWS) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest id reachable over links) and kept for every row of `docs` (doc_id, text)."""
+    """doc_id, n_shingles, component_id (smallest id reachable over links), kept and text_hash for every row of `docs` (doc_id, text)."""
     sketched = stored(sketches(docs, shingle, bands, rows), "sketches")
     classes = stored(sketched.where("node is not null and doc_id is not null").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.min_by("bands", "doc_id").alias("bands")), "classes")
     keyed = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = keyed.groupBy("bucket").count().where("count > 1").select("bucket")
-    live = stored(keyed.join(shared, "bucket", "left_semi"), "buckets")
-    links, roots, tried = [], None, None
-    for _ in range(2):
-        rooted = stored(live.withColumn("root", F.col("node")) if roots is None else _rooted(live, roots), "rooted")
-        pairs = stored(_star_pairs(rooted, tried), "stars")
-        tried = pairs.select(F.col("b").alias("node")).distinct() if tried is None else tried
-        links.append(stored(_confirmed(pairs, docs, classes, shingle, percent), "links"))
-        roots = components(links[0] if len(links) == 1 else links[0].union(links[1]), "components")
-    rooted = stored(_rooted(live, roots), "rooted")
-    pairs = stored(_prefix_pairs(rooted, docs, classes, roots, shingle, percent), "prefix-pairs")
-    links.append(stored(_confirmed(pairs, docs, classes, shingle, percent), "links"))
-    roots = components(links[0].union(links[1]).union(links[2]), "components")
+    sizes = keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+    live = stored(keyed.join(sizes, "bucket"), "buckets")
+    links = stored(_confirmed(stored(_star_pairs(live), "stars"), docs, classes, shingle, percent), "links")
+    roots = components(links, "components")
+    pairs = stored(_prefix_pairs(stored(_rooted(live, roots), "rooted"), docs, classes, roots, shingle, percent), "pairs")
+    more = stored(_confirmed(pairs, docs, classes, shingle, percent), "links")
+    roots = components(links.union(more), "components")
     # the component's name: the smallest id of its classes
     members = classes.select("node", "doc_id").join(roots, "node")
     roots_too = roots.select(F.col("root").alias("node")).distinct().join(classes.select("node", "doc_id"), "node").withColumn("root", F.col("node"))
@@ -266,6 +257,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, bands:
     linked = everyone.join(names, "root").select("node", "component_id")
     alone = classes.where("copies > 1").join(linked, "node", "left_anti").select("node", F.col("doc_id").alias("component_id"))
     named = stored(linked.union(alone), "names")
-    out = sketched.select("doc_id", "n_shingles", "node").join(named, "node", "left")
+    out = sketched.select("doc_id", "n_shingles", "node", "text_hash").join(named, "node", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), "text_hash")
