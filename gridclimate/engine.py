@@ -6,6 +6,7 @@ lazy DataFrames. Coordinates may be numbers or coordinate text.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +56,8 @@ class ClimateEngine:
         problems = [x for x in (row["start_date_error"], row["end_date_error"]) if x] + list(row["violations"])
         if problems:
             raise ValueError("; ".join(problems))
+        for text in (row["warnings"] if "warnings" in found.columns else None) or ():
+            warnings.warn(text, stacklevel=3)
         return str(row["start_date"]), str(row["end_date"])
 
     def _place(self, lat: float | str, lon: float | str) -> tuple[float, float]:
@@ -116,7 +119,7 @@ class ClimateEngine:
         box = self.spark.createDataFrame([(0, params[0], *map(float, (lat_min, lat_max, lon_min, lon_max)))],
                                          "region_id int, param string, lat_min double, lat_max double,"
                                          " lon_min double, lon_max double")
-        found = regions.region_query(self.rows, box, start, end)
+        found = regions.region_query(self.rows, box, start, end, params=params[:1], bounds=(lat_min, lat_max))
         return found.select("obs_ts", "lat", "lon", F.col("value").alias(params[0]))
 
     def region_between(self, south_west: Coordinate, north_east: Coordinate, start: str, end: str,

@@ -20,7 +20,8 @@ def grid_value(param: Column, key: str) -> Column:
 def cell_lat_index(lat: Column, param: Column) -> Column:
     """Row of the cell holding `lat`; the pole belongs to the last row."""
     raw = F.floor((lat + 90.0) / grid_value(param, "lat_step") + grid_value(param, "anchor"))
-    return F.least(raw, grid_value(param, "n_lat").cast("bigint") - 1).cast("int")
+    # `least` alone would skip a NULL latitude and name the pole
+    return F.when(raw.isNotNull(), F.least(raw, grid_value(param, "n_lat").cast("bigint") - 1)).cast("int")
 
 
 def cell_lon_index(lon: Column, param: Column) -> Column:

@@ -36,7 +36,7 @@ def definitions() -> dict[str, str]:
         "gc_format_ddm": shown + C.format_ddm_sql("v", "is_lat"),
         "gc_format_dms": shown + C.format_dms_sql("v", "is_lat"),
         "gc_cell_lat": "(lat DOUBLE, param STRING) RETURNS INT RETURN "
-                       f"cast(least({lat_index}, {_grid('param', 'n_lat')} - 1) as int)",
+                       f"cast(if(lat is null, null, least({lat_index}, {_grid('param', 'n_lat')} - 1)) as int)",
         "gc_cell_lon": "(lon DOUBLE, param STRING) RETURNS INT RETURN "
                        f"cast(pmod({lon_index}, {_grid('param', 'n_lon')}) as int)",
         "gc_gdd": "(t2m DOUBLE, base DOUBLE) RETURNS DOUBLE RETURN "

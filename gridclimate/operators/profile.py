@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclimate.functions.dates import clock_micros
-from gridclimate.functions.text import format_bytes
+from gridclimate.functions.text import format_bytes, round_half_even
 from gridclimate.sources.catalog import RATE_LIMIT_CALLS, RATE_LIMIT_SECONDS
 
 
@@ -96,6 +96,19 @@ def describe_params(obs: DataFrame) -> DataFrame:
     ).select("param", "n", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
+def window_totals(obs: DataFrame, keys: list[str], mean: str, total: str, digits: int = 2) -> DataFrame:
+    """`mean` of one parameter and `total` of another per key, rounded half-even once.
+
+    Sums are exact (six decimals), so neither order nor partial sums change the last digit.
+    """
+    exact = F.col("value").cast("decimal(18,6)")
+    averaged, added = F.when(F.col("param") == mean, exact), F.when(F.col("param") == total, exact)
+    return obs.groupBy(*keys).agg(
+        (F.sum(averaged).cast("double") / F.nullif(F.count(averaged), F.lit(0))).alias("mean"),
+        F.coalesce(F.sum(added).cast("double"), F.lit(0.0)).alias("total"),
+    ).select(*keys, *[round_half_even(F.col(c), digits).alias(c) for c in ("mean", "total")])
+
+
 def rate_audit(log: DataFrame, client: str, stamp: str, calls: int = RATE_LIMIT_CALLS,
                seconds: int = RATE_LIMIT_SECONDS) -> DataFrame:
     """Per call, the calls of its client in the trailing window, and whether that is over the limit.
@@ -114,5 +127,8 @@ def rate_audit(log: DataFrame, client: str, stamp: str, calls: int = RATE_LIMIT_
     trailing = Window.partitionBy(client, "_p.piece").orderBy("_us").rangeBetween(-(span - 1), 0)
     counted = (seen.withColumn("calls_in_window", F.sum("_c").over(trailing))
                .where("_p.own").select(client, "_us", "calls_in_window"))
-    return (at.join(counted, [client, "_us"]).drop("_us", "_piece")
+    found = counted.select(F.col(client).alias("_client"), F.col("_us").alias("_at"), "calls_in_window")
+    # null-safe on the client; a call without a stamp stays, with nothing counted
+    return (at.join(found, at[client].eqNullSafe(F.col("_client")) & (F.col("_us") == F.col("_at")), "left")
+            .drop("_us", "_piece", "_client", "_at")
             .withColumn("over_limit", F.col("calls_in_window") > calls))

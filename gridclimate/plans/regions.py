@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclimate.functions.grid import cell_centre_lat, cell_centre_lon, grid_value
+from gridclimate.functions.grid import cell_centre_lat, cell_centre_lon, cell_lat_index, grid_value
 from gridclimate.operators.requests import box_checks
 from gridclimate.sources.catalog import MAX_BOX_DEGREES
 from gridclimate.sources.store import select_window
@@ -40,15 +40,26 @@ def region_cells(regions: DataFrame) -> DataFrame:
 
 
 def region_query(store: DataFrame, regions: DataFrame, start: str, end: str, enforce_span: bool = True,
-                 key: str = "region_id") -> DataFrame:
+                 key: str = "region_id", params: list[str] | None = None,
+                 bounds: tuple[float, float] | None = None) -> DataFrame:
     """Daily values of every cell in every valid box: `key, param, obs_ts, lat, lon, value`.
 
     Boxes that break a rule are left out; `validate_regions` reports them. With
-    `enforce_span=False` boxes of any size are answered.
+    `enforce_span=False` boxes of any size are answered. `params` names the
+    parameters that the boxes ask for and `bounds` the latitudes they span, so the
+    scan prunes by them whatever join is chosen.
     """
     valid = regions.where(F.size(F.array_compact(F.array(*box_checks(enforce_span)))) == 0)
     cells = region_cells(valid).select(key, "param", "cell_lat", "cell_lon", "lat", "lon")
-    window = (select_window(store, "daily", None, start, end).where(F.col("variant") == "base")
+    if params:
+        valid = valid.where(F.col("param").isin(list(params)))
+    window = select_window(store, "daily", params, start, end)
+    if bounds:
+        rows = [(cell_lat_index(F.lit(float(bounds[0])), F.col("param")) - 1), (cell_lat_index(F.lit(float(bounds[1])), F.col("param")) + 1)]
+        if params and len(params) == 1:  # plain numbers reach the row groups
+            rows = [cell_lat_index(F.lit(float(b)), F.lit(params[0])) + d for b, d in zip(bounds, (-1, 1))]
+        window = window.where(F.col("cell_lat").between(*rows))
+    window = (window.where(F.col("variant") == "base")
               .select("param", "cell_lat", "cell_lon", "obs_ts", "value"))
     return (cells.join(window, ["param", "cell_lat", "cell_lon"])
             .select(key, "param", "obs_ts", "lat", "lon", "value"))

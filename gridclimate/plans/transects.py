@@ -67,17 +67,21 @@ def transect_points(counted: DataFrame, key: str = "transect_id") -> DataFrame:
 
 
 def transect_query(store: DataFrame, transects: DataFrame, start: str, end: str,
-                   temporal: str = "daily", key: str = "transect_id") -> DataFrame:
+                   temporal: str = "daily", key: str = "transect_id", params: list[str] | None = None) -> DataFrame:
     """Series along each transect, long: `key, point_no, lat, lon, name, param, obs_ts, value`.
 
-    Each transect may ask for its own parameters.
+    Each transect may ask for its own parameters; `params` names all that are asked
+    for, so the scan prunes by them. History is fetched once per distinct cell.
     """
     samples = (transect_points(transect_counts(transects), key)
                .withColumn("param", F.explode("params")).withColumn("variant", F.lit("base")))
     carried = [key, "point_no", "lat", "lon", "name"]
     cells = with_cell(samples).select(*carried, *CELL_KEY)
-    window = select_window(store, temporal, None, start, end).select(*CELL_KEY, "obs_ts", "value")
-    return cells.join(window, CELL_KEY).select(*carried, "param", "obs_ts", "value")
+    if params:
+        cells = cells.where(F.col("param").isin(list(params)))
+    window = select_window(store, temporal, params, start, end).select(*CELL_KEY, "obs_ts", "value")
+    history = window.join(cells.select(*CELL_KEY).distinct(), CELL_KEY, "left_semi")
+    return cells.join(history, CELL_KEY).select(*carried, "param", "obs_ts", "value")
 
 
 def silent_transects(transects: DataFrame, answered: DataFrame, key: str = "transect_id") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclimate.functions.dates import date_key, date_key_timestamp
+from gridclimate.functions.grid import with_cell
 
 # --- Fixed values: wire format ------------------------------------------------------
 FILL_CODE = -999.0
@@ -26,11 +27,14 @@ JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad", "allo
 
 
 def read_responses(spark: SparkSession, path: str, layout: str = "file") -> DataFrame:
-    """Landed bodies: one JSON document per file, or one per line (`layout='lines'`)."""
+    """Landed bodies: one JSON document per file, or one per line (`layout='lines'`), each with an id of its own."""
     if layout not in ("file", "lines"):
         raise ValueError("layout must be 'file' or 'lines'")
     text = spark.read.text(path, wholetext=layout == "file")
-    return text.select(F.col("_metadata.file_path").alias("response_id"), F.col("value").alias("body"))
+    name = F.col("_metadata.file_path")
+    if layout == "lines":  # a line is named by its content, which a replay does not change
+        name = F.concat(name, F.lit("#"), F.hex(F.xxhash64("value")))
+    return text.select(name.alias("response_id"), F.col("value").alias("body"))
 
 
 def clean_value(raw: Column) -> Column:
@@ -55,8 +59,8 @@ def _parsed(df: DataFrame, schema: str) -> DataFrame:
     return parsed if "http_status" in df.columns else parsed.withColumn("http_status", F.lit(None).cast("int"))
 
 
-def _failure_reason() -> Column:
-    """NULL for a usable body, else why it is not."""
+def _failure_reason(kind: str = "point") -> Column:
+    """NULL for a usable body, else why it is not. Messages without data are a refusal, whatever the status."""
     status = F.col("http_status")
     status_text = F.concat(F.lit("HTTP "), status.cast("string"))
     listed = F.from_json("_doc.messages", "ARRAY<STRING>")
@@ -64,26 +68,34 @@ def _failure_reason() -> Column:
     return (F.when(status.isin(REJECTED_STATUS) & messages.isNotNull(), F.concat(status_text, F.lit(": "), messages))
             .when(status >= 400, status_text)
             .when(F.col("_doc._bad").isNotNull() | F.col("_doc").isNull(), F.lit("not JSON"))
-            .when(F.col("_doc.error").isNotNull(), F.col("_doc.error")))
+            .when(F.col("_doc.error").isNotNull(), F.col("_doc.error"))
+            .when(F.col("_doc.properties" if kind == "point" else "_doc.features").isNull() & messages.isNotNull(), messages))
+
+
+def _place_reason(spot: Column) -> Column:
+    """NULL for a `[lon, lat]` pair on the globe, else what is wrong with it."""
+    lat, lon = F.get(spot, F.lit(1)), F.get(spot, F.lit(0))
+    on_globe = lat.between(-90.0, 90.0) & lon.between(-180.0, 180.0)
+    return (F.when(lat.isNull() | lon.isNull(), F.lit("no coordinates"))
+            .when(~F.coalesce(on_globe, F.lit(False)), F.lit("coordinates out of range")))
 
 
 def response_errors(df: DataFrame, kind: str = "point", place: bool = False) -> DataFrame:
     """Responses that hold no data, with a `reason`.
 
-    With `place`, a point body without coordinates is an error too.
+    With `place`, a point body without coordinates on the globe is an error too.
     """
     parsed = _parsed(df, POINT_JSON if kind == "point" else REGION_JSON)
-    reason = _failure_reason()
+    reason = _failure_reason(kind)
     if place:
-        spot = F.size("_doc.geometry.coordinates")
-        reason = F.coalesce(reason, F.when(F.coalesce(spot, F.lit(-1)) < 2, F.lit("no coordinates")))
+        reason = F.coalesce(reason, _place_reason(F.col("_doc.geometry.coordinates")))
     return parsed.withColumn("reason", reason).where("reason is not null").drop("_doc", "body")
 
 
 def quarantine(df: DataFrame, place: bool = False) -> DataFrame:
     """Everything point ingest leaves out: `response_id, param, date_key, reason`."""
     whole = response_errors(df, place=place).select("response_id", "reason")
-    keys = bad_date_keys(df).select("response_id", "param", "date_key", "reason")
+    keys = bad_date_keys(df, place).select("response_id", "param", "date_key", "reason")
     return keys.unionByName(whole, allowMissingColumns=True)
 
 
@@ -104,7 +116,7 @@ def point_values(df: DataFrame, place: bool = False) -> DataFrame:
     good = _parsed(df, POINT_JSON).where(_failure_reason().isNull())
     if place:
         spot = F.col("_doc.geometry.coordinates")
-        good = good.where(F.size(spot) >= 2).withColumns({"lat": spot[1], "lon": spot[0]})
+        good = good.where(_place_reason(spot).isNull()).withColumns({"lat": spot[1], "lon": spot[0]})
         keep += ["lat", "lon"]
     series = good.select(*keep, F.explode("_doc.properties.parameter").alias("param", "_series"))
     return (series.select(*keep, "param", F.explode("_series").alias("date_key", "_raw"))
@@ -117,32 +129,60 @@ def ingest_point(df: DataFrame, place: bool = False) -> DataFrame:
     return point_values(df, place).where("obs_ts is not null").drop("date_key")
 
 
-def bad_date_keys(df: DataFrame) -> DataFrame:
-    """Values whose date key is neither `YYYYMMDD` nor `YYYYMMDDHH`, or is no real date."""
-    return (point_values(df).where("obs_ts is null")
+def bad_date_keys(df: DataFrame, place: bool = False) -> DataFrame:
+    """Values whose date key is neither `YYYYMMDD` nor `YYYYMMDDHH`, or is no real date.
+
+    With `place`, of bodies that have a usable place: the others are listed whole.
+    """
+    return (point_values(df, place).where("obs_ts is null")
             .withColumn("reason", F.when(F.col("temporal").isNull(), F.lit("unrecognised date key"))
                         .otherwise(F.lit("unreadable date key")))
             .drop("obs_ts"))
 
 
-def ingest_region(df: DataFrame) -> DataFrame:
-    """Long observations of regional answers: `lat, lon, elevation, param, obs_ts, value`.
-
-    Features with fewer than two coordinates are skipped; only daily keys exist here.
-    """
+def _features(df: DataFrame) -> tuple[DataFrame, list[str]]:
     keep = [c for c in df.columns if c not in ("body", "http_status")]
-    good = _parsed(df, REGION_JSON).where(_failure_reason().isNull())
-    feature = good.select(*keep, F.explode("_doc.features").alias("_f"))
+    good = _parsed(df, REGION_JSON).where(_failure_reason("region").isNull())
+    return good.select(*keep, F.explode("_doc.features").alias("_f")), keep
+
+
+def _region_values(df: DataFrame) -> DataFrame:
+    """Every value of every placed feature; `obs_ts` is NULL for a key that is no daily date."""
+    feature, keep = _features(df)
     place = F.col("_f.geometry.coordinates")
-    series = (feature.where(F.size(place) >= 2)
+    series = (feature.where(_place_reason(place).isNull())
               .select(*keep, place[1].alias("lat"), place[0].alias("lon"),
                       F.get(place, F.lit(2)).alias("elevation"),
                       F.explode("_f.properties.parameter").alias("param", "_series")))
-    return (series.select(*keep, "lat", "lon", "elevation", "param",
-                          F.explode("_series").alias("_key", "_raw"))
-            .where(F.length("_key") == 8)
-            .withColumns({"obs_ts": date_key_timestamp(F.col("_key")), "value": clean_value(F.col("_raw"))})
-            .where("obs_ts is not null").drop("_key", "_raw"))
+    return (series.select(*keep, "lat", "lon", "elevation", "param", F.explode("_series").alias("date_key", "_raw"))
+            .withColumns({"obs_ts": F.when(F.length("date_key") == 8, date_key_timestamp(F.col("date_key"))),
+                          "value": clean_value(F.col("_raw"))}).drop("_raw"))
+
+
+def ingest_region(df: DataFrame) -> DataFrame:
+    """Long observations of regional answers: `lat, lon, elevation, param, obs_ts, value`.
+
+    Only daily keys exist here. What is left out is listed by `region_quarantine`.
+    """
+    return _region_values(df).where("obs_ts is not null").drop("date_key")
+
+
+def region_quarantine(df: DataFrame) -> DataFrame:
+    """Everything regional ingest leaves out: `response_id, param, date_key, reason`."""
+    whole = response_errors(df, "region").select("response_id", "reason")
+    feature, _ = _features(df)
+    reason = _place_reason(F.col("_f.geometry.coordinates"))
+    places = feature.select("response_id", reason.alias("reason")).where("reason is not null")
+    keys = _region_values(df).where("obs_ts is null").select(
+        "response_id", "param", "date_key", F.lit("no daily date key").alias("reason"))
+    return keys.unionByName(places.unionByName(whole), allowMissingColumns=True)
+
+
+def region_store_rows(df: DataFrame) -> DataFrame:
+    """Regional answers as store rows under the base variant, for `ObservationStore.append(order='response_id')`."""
+    placed = with_cell(ingest_region(df))
+    return placed.select(F.lit("daily").alias("temporal"), "param", "cell_lat", "cell_lon", F.lit("base").alias("variant"),
+                         "obs_ts", "value", "response_id")
 
 
 def export_responses(obs: DataFrame, keys: list[str], temporal: str = "daily") -> DataFrame:

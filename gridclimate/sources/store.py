@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import time
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -35,6 +36,8 @@ STORE_SCHEMA = T.StructType([
     T.StructField("year", T.IntegerType()),
 ])
 PARTITIONS = ["temporal", "param", "year"]
+#: Parameter codes of a batch that are stated one by one to prune the held side.
+MANY_CODES = 200
 
 
 def select_window(obs: DataFrame, temporal: str | None = None, params: list[str] | None = None,
@@ -115,7 +118,8 @@ class ObservationStore:
         """Add the rows of `batch` that are not held yet.
 
         `order` ranks repeats inside the batch. All rows written get the same
-        `ingest_seq`, larger for later appends.
+        `ingest_seq`, larger for later appends. A row without a whole key could
+        never be found again, so it is refused.
         """
         seq = int(time.time() * 1e6) if seq is None else seq
         first = fill_null_merge if self.on_conflict == "fill_null" else keep_first
@@ -123,13 +127,18 @@ class ObservationStore:
         # Read three times below; a lost executor only means recomputing a part.
         incoming = incoming.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # A handful of partition values (catalogue codes x years) bounds the scan.
+            # Years, and codes if they are few, bound the scan.
             year = F.year("obs_ts")
-            span = incoming.agg(F.min(year), F.max(year), F.collect_set("param")).first()
+            holes = F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in ROW_KEY]))
+            span = incoming.agg(F.min(year), F.max(year), holes).first()
+            if span[2]:
+                raise ValueError(f"{span[2]} rows without a whole key")
             if span[0] is None:
                 return
-            held = (self.rows().where(F.col("year").between(span[0], span[1]))
-                    .where(F.col("param").isin(span[2])))
+            held = self.rows().where(F.col("year").between(span[0], span[1]))
+            codes = [r[0] for r in incoming.select("param").distinct().limit(MANY_CODES + 1).collect()]
+            if len(codes) <= MANY_CODES:
+                held = held.where(F.col("param").isin(codes))
             if self.on_conflict == "fill_null":
                 known = not_held(incoming.where("value is not null"), held.where("value is not null"), ROW_KEY)
                 fresh = known.unionByName(not_held(incoming.where("value is null"), held, ROW_KEY))

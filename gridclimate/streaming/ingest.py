@@ -1,13 +1,16 @@
 """Streaming ingest of landed response files.
 
-`stream_into_store` is the exact path: each micro-batch is parsed and appended
-keep-first, and a batch replayed after a failure adds nothing. `drop_repeats`
-is the light path for consumers of the stream itself.
+`stream_into_store` and `first_arrivals` are the exact paths: each micro-batch is
+appended keep-first, and a batch replayed after a failure adds nothing.
+`drop_repeats` is the light path for consumers of the stream itself.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -24,7 +27,8 @@ def response_stream(spark: SparkSession, path: str, max_files: int = 10_000) ->
     """
     return (spark.readStream.format("text").option("wholetext", True)
             .option("maxFilesPerTrigger", max_files).load(path)
-            .select(F.col("_metadata.file_path").alias("response_id"), F.col("value").alias("body")))
+            .select(F.col("_metadata.file_path").alias("response_id"), F.col("value").alias("body"),
+                    F.unix_micros("_metadata.file_modification_time").alias("landed")))
 
 
 def responses_to_rows(responses: DataFrame) -> DataFrame:
@@ -41,25 +45,65 @@ def checkpoint_path(spark: SparkSession, name: str, fallback: str | None = None)
     return f"{base.rstrip('/')}/{name}"
 
 
+def arrival_ranks(batch: DataFrame) -> DataFrame:
+    """`response_id` and `arrival`, a number per response in the order of landing, then name.
+
+    The file source cuts batches in the order of landing too, so whichever way the
+    same files are cut, the same one comes first; only files of one and the same
+    millisecond may be cut in another order than by name. One row per response, as
+    many as a trigger takes.
+    """
+    seen = batch.select("response_id", "landed").groupBy("response_id").agg(F.min("landed").alias("landed"))
+    return seen.select("response_id", F.row_number().over(Window.orderBy("landed", "response_id")).cast("long").alias("arrival"))
+
+
 def stream_into_store(stream: DataFrame, store: ObservationStore, checkpoint: str,
                       rejects: str | None = None) -> StreamingQuery:
-    """Append everything that has landed, then stop. Earlier file names win within a batch.
+    """Append everything that has landed, then stop. What landed earlier wins, by name where it landed together.
 
-    `rejects` names a folder for what cannot be used. Each batch overwrites its
-    own subfolder there, so a replayed batch leaves no second copy.
+    What cannot be used goes to the folder `rejects`, beside the store if none is
+    named. Each batch overwrites its own subfolder there, so a replayed batch
+    leaves no second copy. A stream without `landed` is ordered by `response_id`.
     """
+    folder = (rejects or f"{store.path.rstrip('/')}-rejects").rstrip("/")
+
     def write(batch: DataFrame, epoch: int) -> None:
-        if rejects:
-            quarantine(batch, place=True).write.mode("overwrite").parquet(f"{rejects.rstrip('/')}/batch={epoch}")
-        store.append(responses_to_rows(batch), order="response_id")
+        quarantine(batch, place=True).write.mode("overwrite").parquet(f"{folder}/batch={epoch}")
+        if "landed" not in batch.columns:
+            store.append(responses_to_rows(batch), order="response_id")
+            return
+        rows = responses_to_rows(batch.drop("landed"))
+        store.append(rows.join(arrival_ranks(batch), "response_id").drop("response_id"), order="arrival")
 
     return (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def first_arrivals(stream: DataFrame, keys: list[str], path: str, checkpoint: str) -> StreamingQuery:
+    """Write each key once, when it first arrives, however late; then stop.
+
+    The keys written so far are the state, so none is forgotten and a replayed batch adds nothing.
+    """
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.select(*keys).schema.fields)
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        new = batch.select(*keys).distinct()
+        try:
+            held = batch.sparkSession.read.schema(kinds).parquet(path)
+            same = [new[k].eqNullSafe(held[k]) for k in keys]
+            new = new.join(held, reduce(lambda a, b: a & b, same), "left_anti")
+        except AnalysisException as err:
+            if err.getCondition() != "PATH_NOT_FOUND":
+                raise
+        new.write.mode("append").parquet(path)
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def drop_repeats(rows: DataFrame, keys: list[str], stamp: str, delay: str) -> DataFrame:
-    """Keep the first arrival per key; state is dropped once the watermark passes.
+    """Keep the first arrival per key inside the stream; state is dropped once the watermark passes.
 
+    A light helper: keys that arrive later than the delay are dropped. `first_arrivals` keeps them.
     A watermark needs a zoned stamp, so a naive one is read as UTC on the side.
     """
     instant = F.timestamp_micros(clock_micros(F.col(stamp), rows.schema[stamp].dataType))

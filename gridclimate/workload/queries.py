@@ -342,15 +342,15 @@ def mean_by_site(spark, sf_dir):
 
 
 @query("window_totals", """
-select site_id, round_even(100 * round(avg(case when param = 'T2M' then value end), 6), 0) / 100 as mean_temperature,
-       round_even(100 * round(coalesce(sum(case when param = 'PRECTOTCORR' then value end), 0), 6), 0) / 100 as total_rain
+select site_id,
+       round_even(100 * (cast(sum(case when param = 'T2M' then cast(value as decimal(18, 6)) end) as double)
+           / count(case when param = 'T2M' then value end)), 0) / 100 as mean_temperature,
+       round_even(100 * coalesce(cast(sum(case when param = 'PRECTOTCORR' then cast(value as decimal(18, 6)) end) as double), 0), 0) / 100 as total_rain
 from v_obs where """ + WINDOW + " group by site_id")
 def window_totals(spark, sf_dir):
     obs = select_window(v.observations(spark, sf_dir), start=START, end=END)
-    return obs.groupBy("site_id").agg(
-        F.avg(F.when(F.col("param") == "T2M", F.col("value"))).alias("mean_temperature"),
-        F.coalesce(F.sum(F.when(F.col("param") == "PRECTOTCORR", F.col("value"))), F.lit(0.0)).alias("total_rain"),
-    ).select("site_id", *[round_half_even(F.round(c, 6), 2).alias(c) for c in ("mean_temperature", "total_rain")])
+    return profile.window_totals(obs, ["site_id"], mean="T2M", total="PRECTOTCORR").withColumnsRenamed(
+        {"mean": "mean_temperature", "total": "total_rain"})
 
 
 @query("profile", f"""
@@ -686,7 +686,8 @@ select transect_id, point_no, lat, lon, name, c.param, cast(obs_date as timestam
 from celled c join v_store o on o.param = c.param and o.cell_lat = c.cell_lat and o.cell_lon = c.cell_lon
 where {WINDOW}""")
 def transect_query(spark, sf_dir):
-    return transects.transect_query(v.store(spark, sf_dir), v.transects(spark, sf_dir), START, END)
+    return transects.transect_query(v.store(spark, sf_dir), v.transects(spark, sf_dir), START, END,
+                                    params=["T2M", "RH2M", "ALLSKY_SFC_SW_DWN"])
 
 
 REGION_ROWS = f"""
@@ -702,7 +703,8 @@ answer as (select region_id, v.param, cast(obs_date as timestamp) as obs_ts, lat
 
 @query("region_query", f"with {REGION_ROWS} select * from answer")
 def region_query(spark, sf_dir):
-    return regions.region_query(v.store(spark, sf_dir), v.view(spark, sf_dir, "v_regions"), START, END)
+    return regions.region_query(v.store(spark, sf_dir), v.view(spark, sf_dir, "v_regions"), START, END,
+                                params=["T2M", "ALLSKY_SFC_SW_DWN"])
 
 
 @query("union_regions", f"""
@@ -710,13 +712,26 @@ with {REGION_ROWS} select region_id, obs_ts, lat, lon, case when param = 'T2M' t
   case when param <> 'T2M' then value end as "ALLSKY_SFC_SW_DWN" from answer""")
 def union_regions(spark, sf_dir):
     held, boxes = v.store(spark, sf_dir), v.view(spark, sf_dir, "v_regions")
-    frames = [regions.region_query(held, boxes.where(F.col("param") == p), START, END)
-              .withColumnRenamed("value", p).drop("param") for p in ("T2M", "ALLSKY_SFC_SW_DWN")]
-    return merge.union_columns(*frames)
+    asked = ["T2M", "ALLSKY_SFC_SW_DWN"]
+    answer = regions.region_query(held, boxes, START, END, params=asked)  # one pass over the store for all of them
+    return answer.select("region_id", "obs_ts", "lat", "lon", *[F.when(F.col("param") == p, F.col("value")).alias(p) for p in asked])
 
 
 # --- streaming ------------------------------------------------------------------------------
 
+@query("store_append", """
+with placed as (
+  select o.*, case when param like 'ALLSKY%' then least(floor(lat + 90), 179) else least(floor((lat + 90) / 0.5e0 + 0.5e0), 360) end as la,
+         case when param like 'ALLSKY%' then cast(floor(lon + 180) as bigint) % 360
+              else cast(floor((lon + 180) / 0.625e0 + 0.5e0) as bigint) % 576 end as lo
+  from v_obs_raw o join v_points p on p.site_id = o.site_id)
+select param, cast(la as int) as cell_lat, cast(lo as int) as cell_lon, cast(obs_date as timestamp) as obs_ts,
+       nullif(arg_min_null(raw_value, (seq % 4) * 1000000000000 + seq), -999) as value
+from placed group by all""")
+def store_append(spark, sf_dir):
+    return streams.append_batches(spark, sf_dir).select("param", "cell_lat", "cell_lon", "obs_ts", "value")
+
+
 @query("stream_ingest", """
 select param, cell_lat, cell_lon, cast(obs_date as timestamp) as obs_ts, value from v_store""")
 def stream_ingest(spark, sf_dir):

@@ -6,24 +6,22 @@ a new subfolder: the store and the stream's checkpoint start empty.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridclimate.functions.grid import with_cell
+from gridclimate.sources.responses import fill_to_null
 from gridclimate.sources.store import ObservationStore
-from gridclimate.streaming.ingest import drop_repeats, stream_into_store
+from gridclimate.streaming.ingest import first_arrivals as first_seen
+from gridclimate.streaming.ingest import stream_into_store
 from gridclimate.workload import views as v
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """New folder under `spark.checkpoint.dir`; a temporary one only in local tests without it."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="run-")
+    """New folder under `spark.checkpoint.dir`, or under the warehouse where it is unset."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -53,11 +51,22 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
+def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Store content after three overlapping batches have been appended to a store that holds a fourth of the events."""
+    store = ObservationStore(spark, run_folder(spark, "append") + "/store")
+    raw = v.view(spark, sf_dir, "v_obs_raw").join(v.view(spark, sf_dir, "v_points").select("site_id", "lat", "lon"), "site_id")
+    rows = with_cell(raw).select(
+        F.lit("daily").alias("temporal"), "param", "cell_lat", "cell_lon", F.lit("base").alias("variant"),
+        F.col("obs_date").cast("timestamp_ntz").alias("obs_ts"), fill_to_null(F.col("raw_value")).alias("value"), "seq")
+    quarter = F.col("seq") % 4
+    for part in ([0], [0, 1], [1, 2], [2, 3]):
+        store.append(rows.where(quarter.isin(part)), order="seq")
+    return store.read()
+
+
 def first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys left after dropping repeats inside the stream."""
     folder = run_folder(spark, "arrivals")
-    rows = event_stream(spark, sf_dir)
-    kept = drop_repeats(rows, ["site_id", "param", "obs_date"], "ts", "2 days")
-    (kept.select("site_id", "param", "obs_date").writeStream.format("parquet").option("path", folder + "/out")
-     .option("checkpointLocation", folder + "/checkpoint").trigger(availableNow=True).start().awaitTermination())
+    keys = ["site_id", "param", "obs_date"]
+    first_seen(event_stream(spark, sf_dir), keys, folder + "/out", folder + "/checkpoint").awaitTermination()
     return spark.read.schema("site_id bigint, param string, obs_date date").parquet(folder + "/out")

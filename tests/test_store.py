@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from gridclimate.operators.merge import keep_first, merge_keep_first, union_columns
 from gridclimate.sources.sinks import resolve_format, write_result
 from gridclimate.sources.store import ObservationStore, upsert
-from gridclimate.streaming.ingest import checkpoint_path, drop_repeats, response_stream, stream_into_store
+from gridclimate.streaming.ingest import checkpoint_path, drop_repeats, first_arrivals, response_stream, stream_into_store
 
 D = dt.datetime
 SCHEMA = "temporal string, param string, cell_lat int, cell_lon int, variant string, obs_ts timestamp_ntz, value double, rank long"
@@ -133,6 +133,45 @@ def test_stream_ingest_twice(spark, shared, tmp_path):
     assert content(store) == want
 
 
+def test_batches_do_not_change_the_store(spark, shared, tmp_path):
+    """What landed first wins however the files are cut into batches, and bad bodies never enter."""
+    import os
+
+    inbox = tmp_path / "cuts"
+    inbox.mkdir()
+    off_globe = [(95.0, 20.0), (-95.0, 20.0), (10.0, 700.0), (None, None)]
+    texts = [("z", landed(1.0)), ("y", landed(2.0)), ("x", landed(3.0, "20230102")), ("w", landed(4.0, "20230102"))]
+    texts += [(f"bad{i}", landed(9.0, lat=lat, lon=lon)) for i, (lat, lon) in enumerate(off_globe)] + [("said", json.dumps({"messages": ["no such place"]}))]
+    for i, (name, text) in enumerate(texts):
+        (inbox / f"{name}.json").write_text(text)
+        os.utime(inbox / f"{name}.json", (1_700_000_000 + i, 1_700_000_000 + i))  # names run against time
+    for cut in (1, 2, 100):
+        store = ObservationStore(spark, f"{shared}/cut{cut}")
+        for turn in range(2):  # the second delivery adds nothing
+            stream_into_store(response_stream(spark, str(inbox), cut), store, f"{shared}/check{cut}-{turn}").awaitTermination()
+            assert content(store) == [("T2M", 200, D(2023, 1, 1), 1.0), ("T2M", 200, D(2023, 1, 2), 3.0)]
+        rejected = [r["reason"] for r in spark.read.parquet(f"{shared}/cut{cut}-rejects").collect()]
+        assert sorted(set(rejected)) == ["coordinates out of range", "no coordinates", "no such place"]
+
+
+def test_append_refuses_rows_without_a_key(spark, shared):
+    rows = spark.createDataFrame([("daily", "T2M", None, 1, "base", D(2023, 1, 1), 1.0, 1)],
+                                 "temporal string, param string, cell_lat int, cell_lon int, variant string, obs_ts timestamp_ntz, value double, seq long")
+    with pytest.raises(ValueError):
+        ObservationStore(spark, shared + "/holes").append(rows, order="seq")
+
+
+def test_late_first_arrivals_stay(spark, shared, tmp_path):
+    inbox = str(tmp_path / "late")
+    days = [10, 11, 12, 13, 1, 13]  # the fifth file is older than all before it
+    for day in days:
+        spark.createDataFrame([(1, D(2023, 1, day))], "k int, obs_ts timestamp_ntz").coalesce(1).write.mode("append").parquet(inbox)
+    stream = spark.readStream.schema("k int, obs_ts timestamp_ntz").option("maxFilesPerTrigger", 1).parquet(inbox)
+    for check in ("a", "b"):  # a lost checkpoint repeats nothing
+        first_arrivals(stream, ["k", "obs_ts"], shared + "/first", f"{shared}/{check}").awaitTermination()
+    assert sorted(r["obs_ts"].day for r in spark.read.parquet(shared + "/first").collect()) == sorted(set(days))
+
+
 @pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
 def test_drop_repeats(spark, tmp_path, kind):
     inbox = tmp_path / "in"
