@@ -25,12 +25,16 @@ Coordinate = tuple[float | str, float | str]
 
 
 class ClimateEngine:
-    """Answers questions of one resolution from an observation store."""
+    """Answers questions of one resolution from an observation store.
 
-    def __init__(self, spark: SparkSession, store: ObservationStore | str | DataFrame, temporal: str = "daily"):
+    With `end_of_day`, an hourly question takes all hours of its end date.
+    """
+
+    def __init__(self, spark: SparkSession, store: ObservationStore | str | DataFrame, temporal: str = "daily",
+                 end_of_day: bool = False):
         if temporal not in ("daily", "hourly"):
             raise ValueError("temporal must be 'daily' or 'hourly'")
-        self.spark, self.temporal = spark, temporal
+        self.spark, self.temporal, self.end_of_day = spark, temporal, end_of_day
         self._store = ObservationStore(spark, store) if isinstance(store, str) else store
 
     @property
@@ -79,8 +83,9 @@ class ClimateEngine:
         site = sites_from_rows(self.spark, [{"lat": lat, "lon": lon, "elevation": elevation,
                                              "wind_elevation": wind_elevation, "wind_surface": wind_surface}])
         site = site.withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
-        here = points.point_rows(self.rows, lat, lon, start, end, params, self.temporal)
-        full = points.multi_point(here, site, start, end, params, self.temporal, calendar_if_silent=True)
+        here = points.point_rows(self.rows, lat, lon, start, end, params, self.temporal, self.end_of_day)
+        full = points.multi_point(here, site, start, end, params, self.temporal, calendar_if_silent=True,
+                                    end_of_day=self.end_of_day)
         return full.select("obs_ts", *params)
 
     def multi_point(self, sites: DataFrame | Iterable[dict | tuple], start: str, end: str,
@@ -94,7 +99,8 @@ class ClimateEngine:
         failed = bad.withColumn("reason", F.col("coord_error")).unionByName(
             good.where(windy).withColumn("reason", F.lit(f"wind elevation outside [{low:g}, {high:g}]")))
         answer = points.multi_point(self.rows, good.where(~windy), start, end, params, self.temporal,
-                                    calendar_if_silent=True)
+                                    calendar_if_silent=True,
+                                    end_of_day=self.end_of_day)
         return answer, failed.select("site_id", "name", "reason")
 
     def transect(self, first: Coordinate, last: Coordinate, start: str, end: str, params: list[str],
@@ -109,7 +115,8 @@ class ClimateEngine:
             " spacing_km double, params array<string>")
         samples = transects.transect_points(transects.transect_counts(line)).select(
             F.col("point_no").cast("bigint").alias("site_id"), "lat", "lon", "name")
-        return points.multi_point(self.rows, samples, start, end, params, self.temporal, calendar_if_silent=True).select(
+        return points.multi_point(self.rows, samples, start, end, params, self.temporal, calendar_if_silent=True,
+                                    end_of_day=self.end_of_day).select(
             "obs_ts", "lat", "lon", "name", *params)
 
     def region(self, lat_min: float, lat_max: float, lon_min: float, lon_max: float, start: str, end: str,

@@ -123,13 +123,12 @@ def missing_ranges(requests: DataFrame, held: DataFrame, keys: list[str], tempor
 
     `held` is one row per key (see `coverage`), so the join cannot multiply
     requests. Only the edges count: holes inside the held span are not refetched
-    and a disjoint request is bridged. An hourly end date covers its whole day.
+    and a disjoint request is bridged. The service takes days, so a time of day is
+    cut off both bounds; an hourly end covers its whole day.
     """
     hourly = F.col(temporal) == "hourly"
-    begin = F.col(start).cast("timestamp_ntz")
-    finish = F.col(end).cast("timestamp_ntz")
-    finish = F.when(hourly & (finish == finish.cast("date").cast("timestamp_ntz")),
-                    finish + F.expr("interval 23 hours")).otherwise(finish)
+    begin, last_day = (F.col(c).cast("date").cast("timestamp_ntz") for c in (start, end))
+    finish = F.when(hourly, last_day + F.expr("interval 23 hours")).otherwise(last_day)
     step = F.when(hourly, F.expr("interval 1 hour")).otherwise(F.expr("interval 24 hours"))
     first, last = F.col("held_min"), F.col("held_max")
 
@@ -153,6 +152,20 @@ def fetch_plan(planned: DataFrame) -> DataFrame:
                     date_key(F.col("_r.range_end")).alias("end_key")))
 
 
+def fetch_payloads(plan: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per call to the service: `keys, temporal, range_start, range_end, chunk_no, params`.
+
+    Takes the fetch plan of single parameters. Parameters of one site and range travel
+    together, sorted, in lists no longer than the service allows.
+    """
+    limit = F.when(F.col("temporal") == "hourly", F.lit(MAX_PARAMS_HOURLY)).otherwise(F.lit(MAX_PARAMS_DAILY))
+    call = [*keys, "temporal", "range_start", "range_end"]
+    # Codes of the catalogue bound the set; a code asked for twice is fetched once.
+    together = plan.groupBy(*call).agg(F.sort_array(F.collect_set("param")).alias("_all")).withColumn("_n", limit)
+    return (together.withColumn("chunk_no", F.explode(F.sequence(F.lit(1), F.ceil(F.size("_all") / F.col("_n")).cast("int"))))
+            .select(*call, "chunk_no", F.slice("_all", (F.col("chunk_no") - 1) * F.col("_n") + 1, F.col("_n")).alias("params")))
+
+
 def plan_hit_rate(planned: DataFrame) -> DataFrame:
     """Requests, fully held ones and their share in percent (0 when there are none)."""
     hit = F.count_if(F.size("ranges") == 0)

@@ -40,13 +40,19 @@ def point_query(store: DataFrame, lat: float, lon: float, start: str, end: str,
 
 
 def point_rows(store: DataFrame, lat: float, lon: float, start: str, end: str, params: list[str],
-               temporal: str = "daily") -> DataFrame:
+               temporal: str = "daily", end_of_day: bool = False) -> DataFrame:
     """Store rows of the cells around one coordinate."""
     if not params:
         raise ValueError("no parameters given")
     if not (-90.0 <= lat <= 90.0 and -180.0 <= lon <= 180.0):
         raise ValueError("coordinate out of range")
-    return select_window(store, temporal, params, start, end).where(_any_cell(params, lat, lon))
+    return select_window(store, temporal, params, start, end, end_of_day).where(_any_cell(params, lat, lon))
+
+
+def last_stamp(end: str, temporal: str, end_of_day: bool) -> str:
+    """Last stamp of a window as text."""
+    text = iso_bound(end)
+    return f"{text} 23:00:00" if end_of_day and temporal == "hourly" and len(text) == 10 else text
 
 
 def _any_cell(params: list[str], lat: float, lon: float) -> Column:
@@ -116,27 +122,29 @@ def _spot_cells(spots: DataFrame, params: list[str]) -> DataFrame:
 
 
 def multi_point(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
-                temporal: str = "daily", match_variant: bool = True, calendar_if_silent: bool = False) -> DataFrame:
+                temporal: str = "daily", match_variant: bool = True, calendar_if_silent: bool = False,
+                end_of_day: bool = False) -> DataFrame:
     """Wide series of every site: site columns, `obs_ts`, one column per parameter.
 
     Observations are looked up and made wide once per distinct spot, and only
     then handed to the sites, so the site columns never travel with the pivot and
     sites sharing a cell share the work. The last join is an equi-join whose site
     side adaptive execution can split when one cell holds many sites.
-    With `calendar_if_silent`, sites without any row get a NULL calendar.
+    With `calendar_if_silent`, sites without any row get a NULL calendar. With
+    `end_of_day`, an hourly window takes all hours of a bare end date.
     """
     carried = [c for c in SITE_COLUMNS if c in sites.columns]
     placed, spot = with_spot(sites, params, match_variant)
     spots = placed.select(*spot).distinct()
     asked = _spot_cells(spots, params)
-    window = select_window(store, temporal, params, start, end)
+    window = select_window(store, temporal, params, start, end, end_of_day)
     wide = to_wide(asked.join(window.select(*CELL_KEY, "obs_ts", "value"), CELL_KEY), [*spot, "obs_ts"], params)
     if calendar_if_silent:
         # Which spots are held needs only the distinct cells; the distinct
         # collapses each cell's history before the shuffle.
         held = asked.join(window.select(*CELL_KEY).distinct(), CELL_KEY, "left_semi").select(*spot)
         silent = spots.join(held, spot, "left_anti").withColumns(
-            {"_s": F.lit(iso_bound(start)), "_e": F.lit(iso_bound(end))})
+            {"_s": F.lit(iso_bound(start)), "_e": F.lit(last_stamp(end, temporal, end_of_day))})
         blank = calendar(silent, "_s", "_e", temporal).drop("_s", "_e")
         wide = wide.unionByName(blank.withColumns({p: F.lit(None).cast("double") for p in params}))
     return placed.join(wide, spot).select(*carried, "obs_ts", *params)

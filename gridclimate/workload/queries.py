@@ -15,6 +15,8 @@ from gridclimate.operators import merge, profile, requests as req
 from gridclimate.plans import points, regions, transects
 from gridclimate.sources import responses as resp
 from gridclimate.sources import catalog as cat
+from gridclimate.sources.sinks import write_result
+from gridclimate.sources.sites import read_site_csv
 from gridclimate.sources.store import coverage, select_window, upsert
 from gridclimate.workload import streams
 from gridclimate.workload import views as v
@@ -131,6 +133,21 @@ def export_roundtrip(spark, sf_dir):
     return resp.ingest_point(landed).select("site_id", "param", "obs_ts", "value")
 
 
+@query("export_roundtrip_hourly", "select site_id, param, cast(hr as timestamp) as obs_ts, value from v_hourly")
+def export_roundtrip_hourly(spark, sf_dir):
+    written = resp.export_responses(v.hourly_observations(spark, sf_dir), ["site_id"], "hourly")
+    landed = written.select("site_id", F.concat_ws("/", "site_id", "year").alias("response_id"), "body")
+    return resp.ingest_point(landed).select("site_id", "param", "obs_ts", "value")
+
+
+@query("site_list_csv", """
+select site_id, cast(lat as double) as lat, cast(lon as double) as lon, name, elevation, cast(null as double) as wind_elevation from v_points""")
+def site_list_csv(spark, sf_dir):
+    path = streams.run_folder(spark, "sites") + "/list"
+    write_result(v.view(spark, sf_dir, "v_points"), path, "csv")
+    return read_site_csv(spark, path).select("site_id", F.col("lat").cast("double"), F.col("lon").cast("double"), "name", "elevation", "wind_elevation")
+
+
 @query("fill_to_null", "select seq, site_id, param, nullif(raw_value, -999) as value from v_obs_raw")
 def fill_to_null(spark, sf_dir):
     raw = v.view(spark, sf_dir, "v_obs_raw")
@@ -329,6 +346,33 @@ def null_skeleton(spark, sf_dir):
                               ["T2M", "WS10M"], match_variant=False, calendar_if_silent=True)
 
 
+HOURS = f"cast(hr as date) between date '{START}' and date '2024-01-07'"
+
+
+@query("multi_point_hourly", f"""
+select p.site_id, p.lat, p.lon, p.name, p.elevation, cast(hr as timestamp) as obs_ts, max(case when s.param = 'T2M' then value end) as "T2M",
+       max(case when s.param = 'WS10M' then value end) as "WS10M"
+from v_site_cells s join v_store_hourly o using (param, cell_lat, cell_lon) join v_points p on p.site_id = s.site_id
+where {HOURS} and s.param in ('T2M', 'WS10M') group by all""")
+def multi_point_hourly(spark, sf_dir):
+    return points.multi_point(v.hourly_store(spark, sf_dir), v.view(spark, sf_dir, "v_points"), START, "2024-01-07",
+                              ["T2M", "WS10M"], temporal="hourly", match_variant=False, end_of_day=True)
+
+
+@query("null_skeleton_hourly", f"""
+with hit as (select distinct s.site_id from v_site_cells s join v_store_hourly o using (param, cell_lat, cell_lon)
+             where {HOURS} and param in ('T2M', 'WS10M'))
+select site_id, cast(h as timestamp) as obs_ts
+from v_points p, (select unnest(generate_series(timestamp '{START} 00:00:00', timestamp '2024-01-07 23:00:00', interval 1 hour)) as h) d
+where site_id not in (select site_id from hit)""")
+def null_skeleton_hourly(spark, sf_dir):
+    sites, held = v.view(spark, sf_dir, "v_points"), v.hourly_store(spark, sf_dir)
+    ask = {"temporal": "hourly", "match_variant": False, "end_of_day": True}
+    full = points.multi_point(held, sites, START, "2024-01-07", ["T2M", "WS10M"], calendar_if_silent=True, **ask)
+    answered = points.multi_point(held, sites, START, "2024-01-07", ["T2M", "WS10M"], **ask).select("site_id").distinct()
+    return full.join(answered, "site_id", "left_anti").select("site_id", "obs_ts")
+
+
 # --- summaries --------------------------------------------------------------------------
 
 @query("mean_by_site", f"""
@@ -444,18 +488,23 @@ def request_key(spark, sf_dir):
 def _planned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requests per parameter with their missing ranges."""
     per_param = v.requests(spark, sf_dir).withColumn("param", F.explode("params"))
-    held = coverage(_held(spark, sf_dir), ["site_id", "param"])
-    return req.missing_ranges(per_param, held, ["site_id", "param"])
+    hours = select_window(v.hourly_observations(spark, sf_dir), start="2024-01-05", end="2024-01-20", end_of_day=True)
+    keys = ["site_id", "param", "temporal"]
+    held = coverage(_held(spark, sf_dir).withColumn("temporal", F.lit("daily"))
+                    .unionByName(hours.withColumn("temporal", F.lit("hourly"))), keys)
+    return req.missing_ranges(per_param, held, keys)
 
 
 PLAN = """
 per_param as (select r.*, unnest(string_split(params_csv, ',')) as param from v_requests r where params_csv <> ''),
-held as (select site_id, param, cast(min(obs_date) as timestamp) as lo, cast(max(obs_date) as timestamp) as hi
-         from v_held group by site_id, param),
+held as (select 'daily' as temporal, site_id, param, cast(min(obs_date) as timestamp) as lo, cast(max(obs_date) as timestamp) as hi
+         from v_held group by site_id, param
+         union all select 'hourly', site_id, param, min(hr), max(hr) from v_hourly
+         where cast(hr as date) between date '2024-01-05' and date '2024-01-20' group by site_id, param),
 asked as (select p.*, lo, hi, cast(start_date as timestamp) as s,
-                 cast(end_date as timestamp) + case when temporal = 'hourly' then interval 23 hour else interval 0 hour end as e,
-                 case when temporal = 'hourly' then interval 1 hour else interval 24 hour end as step
-          from per_param p left join held h on h.site_id = p.site_id and h.param = p.param),
+                 cast(end_date as timestamp) + case when p.temporal = 'hourly' then interval 23 hour else interval 0 hour end as e,
+                 case when p.temporal = 'hourly' then interval 1 hour else interval 24 hour end as step
+          from per_param p left join held h on h.site_id = p.site_id and h.param = p.param and h.temporal = p.temporal),
 pieces as (select request_id, site_id, param, temporal, 0 as edge, s as range_start, e as range_end from asked where lo is null
            union all select request_id, site_id, param, temporal, 1, s, lo - step from asked where s < lo
            union all select request_id, site_id, param, temporal, 2, hi + step, e from asked where e > hi)"""
@@ -480,6 +529,16 @@ def fetch_plan_hourly(spark, sf_dir):
     return _plan_rows(_planned(spark, sf_dir).where("temporal = 'hourly'"))
 
 
+@query("fetch_payloads", f"""
+with {PLAN}, codes as (select distinct request_id, site_id, temporal, range_start, range_end, param from pieces),
+numbered as (select *, row_number() over (partition by request_id, site_id, temporal, range_start, range_end order by param) - 1 as i from codes)
+select request_id, site_id, temporal, range_start, range_end, cast(i // case when temporal = 'hourly' then 15 else 20 end + 1 as int) as chunk_no,
+       string_agg(param, ',' order by param) as params from numbered group by all""")
+def fetch_payloads(spark, sf_dir):
+    calls = req.fetch_payloads(req.fetch_plan(_planned(spark, sf_dir)), ["request_id", "site_id"])
+    return calls.withColumn("params", F.array_join("params", ","))
+
+
 @query("plan_hit_rate", f"""
 with {PLAN}, n as (select a.request_id, a.param, count(p.edge) as k from asked a
   left join pieces p on p.request_id = a.request_id and p.param = a.param group by all)

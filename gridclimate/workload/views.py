@@ -95,6 +95,16 @@ TWIN_SQL = {
               from {v_obs_raw}) t where rn = 1""",
     "v_held": """
         select * from {v_obs} where obs_date between date '2024-01-05' and date '2024-01-20'""",
+    "v_hourly": """
+        select site_id, param, hr, nullif(raw_value, cast(-999 as double)) as value
+        from (select *, date_trunc('hour', ts) as hr, row_number() over (partition by site_id, param, date_trunc('hour', ts) order by seq) as rn
+              from {v_obs_raw}) t where rn = 1""",
+    "v_store_hourly": """
+        select param, cell_lat, cell_lon, hr, value from (
+          select s.param, s.cell_lat, s.cell_lon, date_trunc('hour', o.ts) as hr, nullif(o.raw_value, cast(-999 as double)) as value,
+                 row_number() over (partition by s.param, s.cell_lat, s.cell_lon, date_trunc('hour', o.ts) order by o.seq) as rn
+          from {v_obs_raw} o join {v_site_cells} s on s.site_id = o.site_id and s.param = o.param) t
+        where rn = 1""",
     "v_site_cells": """
         select p.*, c.param,
                cast(case when c.param like 'ALLSKY%' then least(floor(lat + 90), 179)
@@ -174,6 +184,23 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
                         fill_to_null(F.col("raw_value")).alias("value"))
 
 
+def hourly_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Site observations of the hour, first delivery per site, parameter and hour."""
+    raw = view(spark, sf_dir, "v_obs_raw").select(
+        "site_id", "param", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("obs_ts"), "seq", "raw_value")
+    first = keep_first(raw, ["site_id", "param", "obs_ts"], "seq")
+    return first.select("site_id", "param", "obs_ts", "seq", fill_to_null(F.col("raw_value")).alias("value"))
+
+
+def hourly_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly content of the store, keyed by cell."""
+    sites = view(spark, sf_dir, "v_points").select("site_id", "lat", "lon")
+    rows = with_cell(hourly_observations(spark, sf_dir).join(sites, "site_id")).select(
+        F.lit("hourly").alias("temporal"), "param", "cell_lat", "cell_lon", F.lit("base").alias("variant"),
+        "obs_ts", "value", F.col("seq").alias("ingest_seq"))
+    return keep_first(rows, ["temporal", "param", "cell_lat", "cell_lon", "variant", "obs_ts"], "ingest_seq")
+
+
 def store(spark: SparkSession, sf_dir: str, adjusted: bool = False) -> DataFrame:
     """Observation store content keyed by cell; `adjusted` also keys by site elevation."""
     sites = view(spark, sf_dir, "v_points").select("site_id", "lat", "lon", "elevation")
