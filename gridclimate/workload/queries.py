@@ -473,6 +473,22 @@ def validate_regions(spark, sf_dir):
     return checked.select("region_id", F.array_join("violations", "; ").alias("violations"))
 
 
+@query("validate_limits", """
+select c_custkey as request_id, concat_ws('; ',
+       case when c_custkey % 24 + 1 > case when c_custkey % 2 = 0 then 15 else 20 end
+            then 'more than ' || case when c_custkey % 2 = 0 then 15 else 20 end || ' parameters' end,
+       case when c_custkey % 5 * 100 not between 10 and 300 then 'wind elevation outside [10, 300]' end) as violations
+from customer""")
+def validate_limits(spark, sf_dir):
+    k = F.col("c_custkey")
+    asked = v.table(spark, sf_dir, "customer").select(
+        k.alias("request_id"), F.transform(F.sequence(F.lit(1), (k % 24 + 1).cast("int")), lambda i: F.concat(F.lit("P"), i)).alias("params"),
+        F.when(k % 2 == 0, F.lit("hourly")).otherwise(F.lit("daily")).alias("temporal"),
+        F.lit("2024-01-01").cast("date").alias("start_date"), F.lit("2024-01-02").cast("date").alias("end_date"),
+        (k % 5 * 100).cast("double").alias("wind_elevation"))
+    return req.validate_requests(asked).select("request_id", F.array_join("violations", "; ").alias("violations"))
+
+
 @query("request_key", """
 select request_id, 'v1_' || sha256(concat_ws('|', temporal, params_csv, format('{:.6f}', lat), format('{:.6f}', lon),
        coalesce(format('{:.6f}', elevation), '-'), coalesce(format('{:.6f}', wind_elevation), '-'), '-')) as request_key
@@ -788,7 +804,14 @@ select param, cast(la as int) as cell_lat, cast(lo as int) as cell_lon, cast(obs
        nullif(arg_min_null(raw_value, (seq % 4) * 1000000000000 + seq), -999) as value
 from placed group by all""")
 def store_append(spark, sf_dir):
-    return streams.append_batches(spark, sf_dir).select("param", "cell_lat", "cell_lon", "obs_ts", "value")
+    return streams.appended_store(spark, sf_dir).read().select("param", "cell_lat", "cell_lon", "obs_ts", "value")
+
+
+@query("store_append_stats", """
+select count(distinct (param, cell_lat, cell_lon)) as entries, count(*) as row_count,
+       cast(min(obs_date) as timestamp) as oldest, cast(max(obs_date) as timestamp) as newest from v_store""")
+def store_append_stats(spark, sf_dir):
+    return streams.appended_store(spark, sf_dir).stats().select("entries", "row_count", "oldest", "newest")
 
 
 @query("stream_ingest", """

@@ -51,8 +51,8 @@ def ingest_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read()
 
 
-def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store content after three overlapping batches have been appended to a store that holds a fourth of the events."""
+def appended_store(spark: SparkSession, sf_dir: str) -> ObservationStore:
+    """A store of a fourth of the events after three overlapping batches have been appended."""
     store = ObservationStore(spark, run_folder(spark, "append") + "/store")
     raw = v.view(spark, sf_dir, "v_obs_raw").join(v.view(spark, sf_dir, "v_points").select("site_id", "lat", "lon"), "site_id")
     rows = with_cell(raw).select(
@@ -61,7 +61,7 @@ def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter = F.col("seq") % 4
     for part in ([0], [0, 1], [1, 2], [2, 3]):
         store.append(rows.where(quarter.isin(part)), order="seq")
-    return store.read()
+    return store
 
 
 def first_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
