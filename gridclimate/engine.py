@@ -62,7 +62,9 @@ class ClimateEngine:
             raise ValueError("; ".join(problems))
         for text in (row["warnings"] if "warnings" in found.columns else None) or ():
             warnings.warn(text, stacklevel=3)
-        return str(row["start_date"]), str(row["end_date"])
+        # a bare date stays one: what it means at the end of a window is for the plans to say
+        return tuple(str(row[c])[:10] if len(str(asked).strip()) <= 10 else str(row[c])
+                     for c, asked in (("start_date", start), ("end_date", end)))
 
     def _place(self, lat: float | str, lon: float | str) -> tuple[float, float]:
         """A single coordinate as checked numbers."""

@@ -96,3 +96,15 @@ def test_end_of_day(spark):
     assert select_window(rows, start="2023-01-01", end="2023-01-01").count() == 1
     assert select_window(rows, start="2023-01-01", end="2023-01-01", end_of_day=True).count() == 24
     assert rows.where(F.col("obs_ts").isNull()).count() == 0
+
+
+def test_whole_end_day_and_warnings(spark):
+    stamps = [(D(2023, 1, 1) + dt.timedelta(hours=h), float(h)) for h in range(72)]
+    rows = spark.createDataFrame([("hourly", "T2M", 200, 320, "base", t, x) for t, x in stamps],
+                                 "temporal string, param string, cell_lat int, cell_lon int, variant string, obs_ts timestamp_ntz, value double")
+    for whole, hours in ((True, 48), (False, 25)):
+        asked = ClimateEngine(spark, rows, "hourly", end_of_day=whole)
+        assert asked.point(10.0, 20.0, "2023-01-01", "2023-01-02", ["T2M"]).count() == hours
+        assert asked.point(-60.0, 20.0, "2023-01-01", "2023-01-02", ["T2M"]).count() == hours  # the NULL calendar
+    with pytest.warns(UserWarning, match="unknown parameter"):
+        ClimateEngine(spark, rows, "hourly").point(10.0, 20.0, "2023-01-01", "2023-01-02", ["T2M", "NO_SUCH"])
