@@ -65,7 +65,7 @@ def feistel(index: np.ndarray, size: int, key: int) -> np.ndarray:
 def sequences(docs: DataFrame, length: int, tokenizer: str) -> DataFrame:
     """Stored sequences: packed ids (compressed), number of ids, and the documents in them."""
     def run(batches):
-        codec, kind = pa.Codec("zstd", compression_level=1), None
+        codec, kind = pa.Codec("zstd", compression_level=3), None
         rest, owners, ready = b"", [], []
 
         def closed(block: bytes, n: int, names: list):

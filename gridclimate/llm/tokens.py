@@ -7,15 +7,15 @@ chunks it has met, up to a fixed number, and has the tokenizer read only new one
 
 from __future__ import annotations
 
+import os
 from functools import lru_cache
-from itertools import repeat
 
 import numpy as np
 
 #: Id that closes every document.
 END_ID = 1
 #: Chunks whose ids a worker keeps.
-KEPT = 600_000
+KEPT = 1_000_000
 #: New chunks handed to the tokenizer together.
 TOGETHER = 512
 #: Stands between new chunks; a control character that no sane text holds.
@@ -31,6 +31,7 @@ def default_path() -> str:
 
 @lru_cache(maxsize=2)
 def _tokenizer(path: str):
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker on every core
     from tokenizers import Tokenizer
 
     own = Tokenizer.from_file(path)
