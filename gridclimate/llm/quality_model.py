@@ -2,7 +2,7 @@
 
 Method: a text is the set of its hashed word n-grams of one and two tokens. A token is
 a run of letters, of digits or of one other sign, and carries its shape (lower case,
-capitals, mixed); a pair of equal tokens is also the n-gram "again". Naive Bayes
+capitals, mixed); four equal tokens in a row are also the n-gram "again". Naive Bayes
 log-count ratios scale the indicators; a linear hinge-loss model is fitted by dual
 coordinate descent. Every text is read whole.
 
@@ -50,9 +50,9 @@ def word_cells(text: str) -> np.ndarray:
         parts.append(_cell(codes))
         if len(codes) > 1:
             parts.append(_cell(codes[:-1] * U64(0xC2B2AE3D27D4EB4F) + codes[1:]))
-            if (codes[:-1] == codes[1:]).any():
+            if ((codes[3:] == codes[2:-1]) & (codes[2:-1] == codes[1:-2]) & (codes[1:-2] == codes[:-3])).any():
                 parts.append(_cell(np.array([1], dtype=U64)))
-        return codes[-1:]
+        return codes[-3:]
 
     for match in TOKEN.finditer(text):
         tokens.append(match[0])
