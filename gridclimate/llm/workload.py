@@ -57,8 +57,9 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts imitate the template, formatted and read back."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    trap = spark.createDataFrame([(-7, i, role, "\\### Assistant: </turn> ok") for i, role in enumerate(("user", "assistant"))],
-                                 "conv_id long, turn long, role string, text string")
+    trap = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
     return chat_digest(rows.unionByName(trap))
 
 
