@@ -7,6 +7,7 @@ are hashed together with numpy. A longer single text is walked in segments.
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -21,6 +22,8 @@ from pyspark.sql import functions as F
 U64 = np.uint64
 #: Texts hashed together, in bytes of UTF-8.
 PIECE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between the JVM and Python, and what Spark sets by itself.
+BATCH_SETTING, BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{8 << 20}b", f"{64 << 20}b"
 #: A-Z to a-z; every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -175,16 +178,36 @@ def text_shingles(words: np.ndarray, counts: np.ndarray, n: int) -> Iterator[np.
 
 
 def use_package(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, if the cluster has not installed it."""
+    """Let Python workers find this package where the driver has it, if the cluster has not installed it.
+
+    Rows of texts are large, so the session's Arrow batches are lowered from Spark's default size; a size
+    that was set on purpose stays.
+    """
+    if spark.conf.get(BATCH_SETTING) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
 
 
 def mapped(df: DataFrame, function, schema: str) -> DataFrame:
-    """`mapInArrow` whose workers find this package."""
+    """`mapInArrow` whose workers find this package, and give memory back when a task ends: they live on, idle, beside the JVM."""
     use_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        yield from function(batches)
+        give_back()
+
+    return df.mapInArrow(run, schema)
+
+
+def give_back() -> None:
+    """Return free memory to the system, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):
+        pass
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclimate.llm.common import mapped, shared_folder
-from gridclimate.llm.tokens import default_path, token_bytes
+from gridclimate.llm.tokens import KEPT, default_path, token_bytes
 
 LENGTH = 2048
 DIMENSIONS, BITS = 4, 12
@@ -80,13 +80,13 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def tokenised(docs: DataFrame, tokenizer: str) -> DataFrame:
+def tokenised(docs: DataFrame, tokenizer: str, kept: int = KEPT) -> DataFrame:
     """doc_id, token ids (16 bits each) and curve key of every document, stored."""
     def run(batches):
         for batch in batches:
             ids, points, size, begin = [], [], 0, 0
             for i, text in enumerate(batch.column(1)):
-                own = token_bytes(text.as_py() or "", tokenizer)
+                own = token_bytes(text.as_py() or "", tokenizer, kept)
                 ids.append(own)
                 points.append(project(np.frombuffer(own, dtype=np.uint16)))
                 size += len(own)
@@ -107,9 +107,12 @@ def power_cuts(length: int) -> list[int]:
     return [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
 
 
-def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None) -> DataFrame:
-    """Pieces of documents in sequences, with their ids: doc_id, start, length, ids, doc_tokens, sequence_id, offset."""
-    rows = tokenised(docs, tokenizer or default_path())
+def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, kept: int = KEPT) -> DataFrame:
+    """Pieces of documents in sequences, with their ids: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+
+    `kept` bounds the words whose ids a worker remembers: more cost memory, fewer cost time.
+    """
+    rows = tokenised(docs, tokenizer or default_path(), kept)
     spread = F.xxhash64(F.col("doc_id").cast("string"), F.octet_length("ids"))
     rows = rows.withColumn("spread", spread).repartitionByRange("key", "spread").sortWithinPartitions("key", "spread", "doc_id", "ids")
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 import os
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
 #: Id that closes every document.
 END_ID = 1
-#: Chunks whose ids a worker keeps.
+#: Chunks whose ids a worker keeps; when they are full, the third met first stays, which holds the frequent ones.
 KEPT = 1_000_000
 #: New chunks handed to the tokenizer together.
 TOGETHER = 512
@@ -57,13 +58,15 @@ def _learn(path: str, chunks: list[str]) -> None:
             _known[c] = ids[a:b - 1].tobytes()
 
 
-def token_bytes(text: str, path: str) -> bytes:
-    """Ids of a text as unsigned 16-bit numbers, with the end id."""
+def token_bytes(text: str, path: str, kept: int = KEPT) -> bytes:
+    """Ids of a text as unsigned 16-bit numbers, with the end id. `kept` bounds the cache."""
     chunks = text.replace("\n", " ").split(" ")
     new = set(chunks).difference(_known)
     if new:
-        if len(_known) + len(new) > KEPT:
+        if len(_known) + len(new) > kept:
+            first = dict(islice(_known.items(), kept // 3))
             _known.clear()
-            new = set(chunks)
+            _known.update(first)
+            new = set(chunks).difference(_known)
         _learn(path, list(new))
     return b"".join(map(_known.__getitem__, chunks)) + END_ID.to_bytes(2, "little")
