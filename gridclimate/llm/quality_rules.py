@@ -1,16 +1,18 @@
 """Quality rules with a hashed n-gram log-likelihood ratio (operator 5, native).
 
-Method: words and word pairs are hashed to `BUCKETS` cells. Two multinomials are
-counted over whole tables, one over all documents (raw) and one over the trusted
-ones (target), with one added to every cell. A document's score is the sum of
-log(target / raw) over its cells divided by their number; it is kept if it passes
-the base rules and the score reaches `THRESHOLD`. Both counts travel as partial
-sums per task, so shuffles carry at most `BUCKETS` rows a task; the table of
-ratios has a fixed size, so it is broadcast.
+Method: words and word pairs are hashed to cells, one for each `CELL_BYTES` of text and
+`BUCKETS` at least, so that cells hold as much at any size. Two multinomials are counted
+over whole tables, one over all documents (raw) and one over the trusted ones (target). A
+document is scored against both without its own words, so that trusted ones have no start:
+raw counts are scaled to the size of the target, one is added to both, and the score is the
+mean of log(target / raw) over the document's cells. It is kept if it passes the base rules
+and its score is not below the `LEFT_OUT` quantile of the trusted documents that pass
+them. Counts travel as partial sums per task; they are broadcast up to `SMALL_CELLS`
+cells and joined by a shuffle beyond.
 
 Defined cases: a null text has no words and fails the base rules; a document
-without words scores 0; without trusted documents, or documents at all, all ratios
-are those of the added ones; rows with the same id are each judged by their own text.
+without words scores 0; without trusted documents all scores are 0 and the base rules
+alone decide; words that no other document has say nothing (0); rows with the same id are each judged by their own text.
 """
 
 from __future__ import annotations
@@ -23,29 +25,54 @@ from gridclimate.llm.native import grams, let, places, split_words
 
 BLANKS = r"\x20\x09-\x0D"
 SYMBOLS = "[#*$%&|<>]"
-#: Cells of the multinomials.
-BUCKETS = 1 << 16
-#: Smallest mean log ratio that is kept.
-THRESHOLD = -0.15
-SMALL_ROWS = 2_000_000
+#: Cells of the multinomials at least, and bytes of text a cell.
+BUCKETS, CELL_BYTES = 1 << 16, 1024
+#: Share of the trusted documents below the smallest score that is kept.
+LEFT_OUT = 0.02
+SMALL_ROWS, SMALL_CELLS = 2_000_000, 1 << 20
 REPEAT = 5
 
 
-def _hashed(docs: DataFrame) -> DataFrame:
+def _hashed(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """Add words, their hashes and the cells of words and word pairs."""
     out = docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("words", split_words(F.col("text"), BLANKS))
     out = out.withColumn("w", F.transform("words", lambda x: F.xxhash64(x)))
-    pair = let(F.col("w"), lambda a: F.transform(places(F.size(a) - 1), lambda i: F.pmod(F.xxhash64(a[i], a[i + 1]), F.lit(BUCKETS)).cast("int")))
-    single = F.transform("w", lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int"))
+    pair = let(F.col("w"), lambda a: F.transform(places(F.size(a) - 1), lambda i: F.pmod(F.xxhash64(a[i], a[i + 1]), F.lit(buckets)).cast("int")))
+    single = F.transform("w", lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
     return out.withColumn("cells", F.concat(single, pair))
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
-    """Log(target / raw) of every cell: `BUCKETS` rows. `trusted` names the documents of the target (doc_id)."""
+def _runs(cells: Column) -> Column:
+    """Distinct cells and how often each occurs (`own`)."""
+    def cut(s: Column) -> Column:
+        starts = F.filter(places(F.size(s)), lambda i: (i == 0) | (s[i] != s[F.greatest(i - 1, F.lit(0))]))
+        return let(starts, lambda at: F.transform(at, lambda i, k: F.struct(s[i].alias("cell"), (F.coalesce(F.get(at, k + 1), F.size(s)) - i).alias("own"))))
+
+    return let(F.sort_array(cells), cut)
+
+
+def cells_for(docs: DataFrame) -> int:
+    """Number of cells for these documents, a power of two."""
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(max(BUCKETS, 1 << (size // CELL_BYTES).bit_length()), 1 << 30)
+
+
+def _marked(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Documents with `t`: whether `trusted` names their id."""
     ids = stored(trusted.select(F.col("doc_id").alias("trusted_id")).where("trusted_id is not null").distinct(), "trusted")
-    marked = docs.select("doc_id", "text").join(small_side(ids, SMALL_ROWS), F.col("doc_id") == F.col("trusted_id"), "left")
-    cells = _hashed(marked.select("text", F.col("trusted_id").isNotNull().alias("t"))).select("t", F.explode("cells").alias("cell"))
-    counts = cells.groupBy("cell").agg(F.count("*").alias("raw"), F.count_if("t").alias("target"))
+    return docs.join(small_side(ids, SMALL_ROWS), F.col("doc_id") == F.col("trusted_id"), "left") \
+        .select(*docs.columns, F.col("trusted_id").isNotNull().alias("t"))
+
+
+def cell_counts(marked: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Counts of every cell that occurs, in all documents (raw) and in those with `t` (target)."""
+    cells = _hashed(marked.select("text", "t"), buckets).select("t", F.explode("cells").alias("cell"))
+    return stored(cells.groupBy("cell").agg(F.count("*").alias("raw"), F.count_if("t").alias("target")), "cells")
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame) -> DataFrame:
+    """Log(target / raw) of every cell with one added to the counts as they are: `BUCKETS` rows. `trusted` names the documents of the target (doc_id)."""
+    counts = cell_counts(_marked(docs.select("doc_id", "text"), trusted))
     whole = counts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left") \
         .select("cell", (F.coalesce("raw", F.lit(0)) + 1).alias("raw"), (F.coalesce("target", F.lit(0)) + 1).alias("target"))
     whole = stored(whole, "cells")
@@ -79,12 +106,23 @@ def base_counts(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words"))
 
 
-def quality_rules(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def quality_rules(docs: DataFrame, trusted: DataFrame, left_out: float = LEFT_OUT) -> DataFrame:
     """Counts, score and verdict of every document (doc_id, text)."""
-    ratios = stored(log_ratios(docs, trusted), "ratios")
+    buckets = cells_for(docs)
+    marked = _marked(docs.select("doc_id", "text"), trusted)
+    seen = cell_counts(marked, buckets)
+    raw, target = (x or 0 for x in seen.agg(F.sum("raw"), F.sum("target")).first())
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    hashed = base_counts(_hashed(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")))
+    hashed = base_counts(_hashed(marked.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text", "t"), buckets))
     # all cells of a document are summed in the task that reads it; the row number keeps equal rows apart
-    cells = hashed.select("row", "doc_id", *counts, F.explode_outer("cells").alias("cell"))
-    summed = cells.join(F.broadcast(ratios), "cell", "left").groupBy("row", "doc_id", *counts).agg(F.coalesce(F.avg("ratio"), F.lit(0.0)).alias("score"))
-    return summed.select("doc_id", *counts, (~F.col("base_failed") & (F.col("score") >= threshold)).alias("kept"), "score")
+    cells = hashed.select("row", "doc_id", "t", *counts, F.size("cells").alias("n"), F.inline_outer(_runs(F.col("cells"))))
+    own, n = F.when(F.col("t"), F.col("own")).otherwise(0), F.when(F.col("t"), F.col("n")).otherwise(0)
+    scale = (F.lit(target) - n) / F.greatest(F.lit(raw) - F.col("n"), F.lit(1))
+    gain = F.col("own") * (F.log(F.col("target") - own + 1.0) - F.log((F.col("raw") - F.col("own")) * scale + 1.0))
+    summed = cells.join(small_side(seen, SMALL_CELLS), "cell", "left").groupBy("row", "doc_id", "t", *counts) \
+        .agg(F.coalesce(F.sum(gain) / F.sum("own"), F.lit(0.0)).alias("score"))
+    judged = stored(summed.drop("row"), "scores")
+    least = judged.where("t and not base_failed").agg(F.percentile_approx("score", left_out, 10_000)).first()[0]
+    # without trusted documents there is nothing to compare with
+    passed = F.lit(True) if least is None else F.col("score") >= least
+    return judged.select("doc_id", *counts, (~F.col("base_failed") & passed).alias("kept"), "score")

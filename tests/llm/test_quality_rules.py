@@ -2,7 +2,10 @@ import collections
 import math
 import re
 
-from gridclimate.llm.quality_rules import log_ratios, quality_rules
+import pytest
+from pyspark.sql import functions as F
+
+from gridclimate.llm.quality_rules import cells_for, log_ratios, quality_rules
 
 
 def base(text):
@@ -33,3 +36,19 @@ def test_ratios_are_of_whole_tables(spark):
     assert max(ratios) < math.log(5 / target) - math.log(5 / raw) + 1e-9 and min(ratios) < 0
     scores = {r["doc_id"]: r["score"] for r in quality_rules(docs, docs.where("doc_id <> 2").select("doc_id")).collect()}
     assert scores[2] < scores[1]
+
+
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_verdicts_are_alike_at_any_size(spark, size):
+    docs, labels = (spark.read.parquet(f"/root/testdata/{size}/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules(docs, labels.where("quality = 1").select("doc_id")).where("not base_failed")
+    rows = got.join(labels.select("doc_id", "quality"), "doc_id", "left").groupBy("quality").agg(F.count_if("kept").alias("kept"), F.count("*").alias("n")).collect()
+    share = {r["quality"]: r["kept"] / r["n"] for r in rows}
+    print(size, rows)
+    assert share[1] >= 0.95 and share[None] >= 0.85
+    assert share[0] <= (0.05 if size != "sf0.001" else 0.34)  # six poor documents
+
+
+def test_cells_follow_the_text(spark):
+    docs = spark.range(300).selectExpr("id as doc_id", "repeat('word ', 100000) as text")
+    assert cells_for(docs) == 1 << 18 and cells_for(docs.limit(1)) == cells_for(docs.where("false")) == 1 << 16
