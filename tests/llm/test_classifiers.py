@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 from conftest import prose
 
-from gridclimate.llm.linear import dual_coordinate_descent, log_count_ratios
+from gridclimate.llm.linear import calibration, dual_coordinate_descent, frequent_ratios, log_count_ratios
 from gridclimate.llm.quality_model import quality, word_cells
 from gridclimate.llm.toxicity import SPAN, char_cells, toxicity
 
@@ -59,3 +59,17 @@ def test_solver_separates():
     w = dual_coordinate_descent(rows, [np.ones(2)] * 4, labels, 4, epochs=50)
     assert [(w[r].sum() > 0) == bool(y) for r, y in zip(rows, labels)] == [True] * 4
     assert log_count_ratios(np.array([[9.0, 0.0], [0.0, 9.0]]))[1] > 0
+
+
+def test_held_out_recall_and_precision_of_toxic(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    rows = toxicity(docs, labels).where("held_out").join(labels, "doc_id").where("toxic in (0, 1)").select("predicted", "toxic").collect()
+    caught = sum(r["predicted"] and r["toxic"] for r in rows)
+    assert caught / sum(r["toxic"] for r in rows) >= 0.7 and caught / sum(r["predicted"] for r in rows) >= 0.75
+
+
+def test_the_half_follows_the_margins():
+    margins, labels = np.array([-3.0, -2.5, -2.0, -1.0, -0.8]), np.array([0, 0, 0, 1, 1])
+    slope, offset = calibration(margins, labels, (30.0, 2.0))
+    assert ((slope * margins + offset > 0) == labels.astype(bool)).all()
+    assert frequent_ratios(np.array([[0.0, 0.0], [1.0, 9.0]])).tolist()[0] == 0
