@@ -73,6 +73,12 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return backoff_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
 
 
+def op10_lm_score_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document from up to three words, where an n-gram seen once counts."""
+    scores = backoff_scores(table(spark, sf_dir, "documents"), order=3, cutoff=1)
+    return scores.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -84,6 +90,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_lm_score": op10_lm_score,
+    "op10_lm_score_order3": op10_lm_score_order3,
 }
 
 #: A-Z to a-z alone, as DuckDB text.

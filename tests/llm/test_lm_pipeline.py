@@ -8,6 +8,7 @@ from test_near_dedup import brute as components
 
 import corpus_pipeline
 from gridclimate.llm.lm_score import backoff_scores
+from gridclimate.llm.workload import QUERIES
 
 
 def brute_scores(rows, order, cutoff=2):
@@ -33,6 +34,16 @@ def test_scores(odd_docs, order):
     assert shape(map(tuple, got)) == shape(brute_scores(rows, order))
 
 
+def test_registered_order_3_counts_every_gram(spark, tmp_path):
+    rows = [(1, prose(1, 60)), (2, prose(1, 40) + " once only"), (3, prose(3, 30)), (4, None), (5, "one two")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in QUERIES["op10_lm_score_order3"](spark, str(tmp_path)).collect()}
+    want = brute_scores(rows, 3, cutoff=1)
+    assert len(got) == len(want)
+    for i, n, score in want:
+        assert got[i][0] == n and (got[i][1] is None if score is None else abs(got[i][1] - score) < 2e-6)
+
+
 def test_empty(no_docs):
     assert backoff_scores(no_docs).collect() == []
 
