@@ -8,14 +8,17 @@ from pyspark.sql import functions as F
 from gridclimate.llm.chat import chat_digest
 from gridclimate.llm.common import table
 from gridclimate.llm.decontaminate import contamination
+from gridclimate.llm.fill_middle import middle_digest
 from gridclimate.llm.lm_score import backoff_scores
 from gridclimate.llm.near_dedup import near_duplicates
 from gridclimate.llm.packing import packed_index
 from gridclimate.llm.quality_model import quality
 from gridclimate.llm.quality_rules import quality_rules
+from gridclimate.llm.secrets import secret_digest
 from gridclimate.llm.token_shards import token_shards
 from gridclimate.llm.toxicity import toxicity
 from gridclimate.llm.warc import page_captures
+from gridclimate.llm.whitening import whitened_rows
 
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +82,21 @@ def op10_lm_score_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
 
 
+def op11_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in their fill-in-middle form, and what is read back from it."""
+    return middle_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All embeddings projected on the components of their covariance, each of unit variance."""
+    return whitened_rows(table(spark, sf_dir, "embeddings"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secret_digest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_near_dedup": op1_near_dedup,
     "op2_decontamination": op2_decontamination,
@@ -91,6 +109,9 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_lm_score": op10_lm_score,
     "op10_lm_score_order3": op10_lm_score_order3,
+    "op11_fill_middle": op11_fill_middle,
+    "op12_whitening": op12_whitening,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 #: A-Z to a-z alone, as DuckDB text.
@@ -162,4 +183,18 @@ s as (
     from g join c1 on c1.w = g.w left join c2 on c2.v = g.v and c2.w = g.w left join c1 h on h.w = g.v)
 select d.doc_id, coalesce(len(d.w), 0)::bigint as n_words, round(avg(s.score), 6) as log_score
 from d left join s using (doc_id) group by d.doc_id, d.w""",
+    "op11_fill_middle": r"""
+with t as (
+    select doc_id, coalesce(text, '') as text, sha256('42:' || coalesce(doc_id::varchar, '')) as h,
+        regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as u from documents),
+c as (
+    select *, len(u) as n, ('0x' || h[1:8])::bigint % (len(u) + 1) as a, ('0x' || h[9:16])::bigint % (len(u) + 1) as b,
+        case when text = '' or contains(text, '<P>') or contains(text, '<S>') or contains(text, '<M>') or ('0x' || h[17:24])::bigint % 100 >= 50 then 'plain'
+            when ('0x' || h[25:32])::bigint % 100 < 80 then 'spm' else 'psm' end as form from t),
+p as (
+    select *, array_to_string(u[1:least(a, b)], '') as prefix, array_to_string(u[least(a, b) + 1:greatest(a, b)], '') as middle,
+        array_to_string(u[greatest(a, b) + 1:], '') as suffix from c)
+select doc_id, n::bigint as n, form, case when form <> 'plain' then length(prefix) end as prefix_chars, case when form <> 'plain' then length(middle) end as middle_chars,
+    sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256, sha256(text) as restored_sha256 from p""",
 }
