@@ -19,7 +19,7 @@ from gridclimate.operators import requests as req
 from gridclimate.plans import points, regions, transects
 from gridclimate.sources import catalog as cat
 from gridclimate.sources.sites import conform, sites_from_rows
-from gridclimate.sources.store import ObservationStore, coverage
+from gridclimate.sources.store import ObservationStore, coverage, fold_coverage
 
 Coordinate = tuple[float | str, float | str]
 
@@ -42,6 +42,16 @@ class ClimateEngine:
         """Current content of the store."""
         return self._store.read() if isinstance(self._store, ObservationStore) else self._store
 
+    def _held(self, params: list[str], start: str, end: str, tiles: list[int] | None = None) -> DataFrame:
+        """Content that a window of some parameters can need: of a store, only these shelves are listed."""
+        if isinstance(self._store, ObservationStore):
+            return self._store.read(self.temporal, params, start, end, self.end_of_day, tiles)
+        return self._store
+
+    def _tiles(self, find, *args) -> list[int] | None:
+        """Tiles of a question, where the store has any."""
+        return find(*args) if isinstance(self._store, ObservationStore) else None
+
     # --- request checks -------------------------------------------------------------
 
     def _checked(self, start: str, end: str, params: list[str], wind_elevation: float | None = None,
@@ -85,7 +95,8 @@ class ClimateEngine:
         site = sites_from_rows(self.spark, [{"lat": lat, "lon": lon, "elevation": elevation,
                                              "wind_elevation": wind_elevation, "wind_surface": wind_surface}])
         site = site.withColumns({"lat": F.col("lat").cast("double"), "lon": F.col("lon").cast("double")})
-        here = points.point_rows(self.rows, lat, lon, start, end, params, self.temporal, self.end_of_day)
+        held = self._held(params, start, end, self._tiles(points.site_tiles, site, params))
+        here = points.point_rows(held, lat, lon, start, end, params, self.temporal, self.end_of_day)
         full = points.multi_point(here, site, start, end, params, self.temporal, calendar_if_silent=True,
                                     end_of_day=self.end_of_day)
         return full.select("obs_ts", *params)
@@ -100,8 +111,9 @@ class ClimateEngine:
         windy = F.coalesce(~F.col("wind_elevation").between(low, high), F.lit(False))
         failed = bad.withColumn("reason", F.col("coord_error")).unionByName(
             good.where(windy).withColumn("reason", F.lit(f"wind elevation outside [{low:g}, {high:g}]")))
-        answer = points.multi_point(self.rows, good.where(~windy), start, end, params, self.temporal,
-                                    calendar_if_silent=True,
+        usable = good.where(~windy)
+        held = self._held(params, start, end, self._tiles(points.site_tiles, usable, params))
+        answer = points.multi_point(held, usable, start, end, params, self.temporal, calendar_if_silent=True,
                                     end_of_day=self.end_of_day)
         return answer, failed.select("site_id", "name", "reason")
 
@@ -117,7 +129,8 @@ class ClimateEngine:
             " spacing_km double, params array<string>")
         samples = transects.transect_points(transects.transect_counts(line)).select(
             F.col("point_no").cast("bigint").alias("site_id"), "lat", "lon", "name")
-        return points.multi_point(self.rows, samples, start, end, params, self.temporal, calendar_if_silent=True,
+        held = self._held(params, start, end, self._tiles(points.site_tiles, samples, params))
+        return points.multi_point(held, samples, start, end, params, self.temporal, calendar_if_silent=True,
                                     end_of_day=self.end_of_day).select(
             "obs_ts", "lat", "lon", "name", *params)
 
@@ -128,7 +141,8 @@ class ClimateEngine:
         box = self.spark.createDataFrame([(0, params[0], *map(float, (lat_min, lat_max, lon_min, lon_max)))],
                                          "region_id int, param string, lat_min double, lat_max double,"
                                          " lon_min double, lon_max double")
-        found = regions.region_query(self.rows, box, start, end, params=params[:1], bounds=(lat_min, lat_max))
+        held = self._held(params, start, end, self._tiles(regions.region_tiles, box))
+        found = regions.region_query(held, box, start, end, params=params[:1], bounds=(lat_min, lat_max))
         return found.select("obs_ts", "lat", "lon", F.col("value").alias(params[0]))
 
     def region_between(self, south_west: Coordinate, north_east: Coordinate, start: str, end: str,
@@ -141,7 +155,10 @@ class ClimateEngine:
 
     def fetch_plan(self, requests: DataFrame, keys: list[str]) -> DataFrame:
         """Ranges still to be downloaded for a request table with `start_date` and `end_date`."""
-        held = coverage(self.rows.where(F.col("temporal") == self.temporal), keys)
+        if isinstance(self._store, ObservationStore):  # kept up to date by the appends
+            held = fold_coverage(self._store.coverage().where(F.col("temporal") == self.temporal), keys)
+        else:
+            held = coverage(self.rows.where(F.col("temporal") == self.temporal), keys)
         asked = requests.withColumn("temporal", F.lit(self.temporal))
         return req.fetch_plan(req.missing_ranges(asked, held, keys))
 

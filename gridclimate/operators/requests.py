@@ -6,7 +6,7 @@ A bad request never stops the job: it gets a non-empty `violations` array and
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridclimate.functions.dates import date_key
@@ -66,26 +66,31 @@ def validate_requests(df: DataFrame, params: str = "params", temporal: str = "te
                                        _early_start(p, t, s)])
 
 
-def box_checks(enforce_span: bool = True) -> list[Column]:
-    """Violation messages for `lat_min, lat_max, lon_min, lon_max`."""
+def box_checks(enforce_span: bool = True, wrap: bool = False) -> list[Column]:
+    """Violation messages for `lat_min, lat_max, lon_min, lon_max`.
+
+    With `wrap`, `lon_min` above `lon_max` is a box across the antimeridian, not a mistake.
+    """
     lat_min, lat_max, lon_min, lon_max = map(F.col, ("lat_min", "lat_max", "lon_min", "lon_max"))
     in_range = (lat_min.between(-90.0, 90.0) & lat_max.between(-90.0, 90.0)
                 & lon_min.between(-180.0, 180.0) & lon_max.between(-180.0, 180.0))
     checks = [
         F.when(~(lat_min < lat_max), F.lit("lat_min not below lat_max")),
-        F.when(~(lon_min < lon_max), F.lit("lon_min not below lon_max")),
+        F.when(lon_min == lon_max if wrap else ~(lon_min < lon_max), F.lit("lon_min not below lon_max")),
         F.when(~in_range, F.lit("box outside the globe")),
     ]
     if enforce_span:
-        checks.append(F.when((lat_max - lat_min > MAX_BOX_DEGREES) | (lon_max - lon_min > MAX_BOX_DEGREES),
+        east = F.when(lon_min > lon_max, lon_max + 360.0).otherwise(lon_max) if wrap else lon_max
+        checks.append(F.when((lat_max - lat_min > MAX_BOX_DEGREES) | (east - lon_min > MAX_BOX_DEGREES),
                              F.lit(f"box wider than {MAX_BOX_DEGREES:g} degrees")))
     return checks
 
 
 def validate_regions(df: DataFrame, params: str | None = None, temporal: str | None = None,
-                     start: str | None = None, end: str | None = None, enforce_span: bool = True) -> DataFrame:
+                     start: str | None = None, end: str | None = None, enforce_span: bool = True,
+                     wrap: bool = False) -> DataFrame:
     """Add `violations` and `warnings` to box requests; request columns are checked when named."""
-    checks, warnings = box_checks(enforce_span), []
+    checks, warnings = box_checks(enforce_span, wrap), []
     if params:
         p = F.col(params)
         t = F.col(temporal) if temporal else F.lit("daily")
@@ -105,14 +110,24 @@ def split_requests(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def request_key(params: Column, temporal: Column, lat: Column, lon: Column, elevation: Column,
                 wind_elevation: Column, wind_surface: Column) -> Column:
-    """`v1_` and the SHA-256 of the request without its dates; parameter order matters."""
+    """`v1_` and the SHA-256 of the request without its dates; parameter order matters.
+
+    Numbers are written in full, so two places share a key only if they are one place, and
+    an absent part has a mark that no text can equal.
+    """
+    def text(value: Column) -> Column:
+        marked = value
+        for sign in ("\\", "|", ","):
+            marked = F.replace(marked, F.lit(sign), F.lit("\\" + sign))
+        return F.coalesce(marked, F.lit("\\N"))
+
     def number(value: Column) -> Column:
-        return F.call_function("format_number", value, F.lit("0.000000"))
-    absent = F.lit("-")
-    text = F.concat_ws("|", temporal, F.array_join(params, ","), number(lat), number(lon),
-                       F.coalesce(number(elevation), absent), F.coalesce(number(wind_elevation), absent),
-                       F.coalesce(wind_surface, absent))
-    return F.concat(F.lit("v1_"), F.sha2(text, 256))
+        value = value.cast("double")
+        return F.coalesce(F.when(value == 0, F.lit("0.0")).otherwise(value.cast("string")), F.lit("\\N"))  # no negative zero
+
+    whole = F.concat_ws("|", text(temporal), F.coalesce(F.array_join(F.transform(params, text), ","), F.lit("\\N")), number(lat), number(lon),
+                        number(elevation), number(wind_elevation), text(wind_surface))
+    return F.concat(F.lit("v1_"), F.sha2(whole, 256))
 
 
 # --- fetch plan -----------------------------------------------------------------------
@@ -152,6 +167,67 @@ def fetch_plan(planned: DataFrame) -> DataFrame:
                     date_key(F.col("_r.range_end")).alias("end_key")))
 
 
+def _step(temporal: str) -> Column:
+    return F.when(F.col(temporal) == "hourly", F.expr("interval 1 hour")).otherwise(F.expr("interval 24 hours"))
+
+
+def _asked_window(temporal: str, start: str, end: str) -> tuple[Column, Column]:
+    """First and last stamp of a request: whole days, an hourly end with its whole day."""
+    begin, last_day = (F.col(c).cast("date").cast("timestamp_ntz") for c in (start, end))
+    return begin, F.when(F.col(temporal) == "hourly", last_day + F.expr("interval 23 hours")).otherwise(last_day)
+
+
+def held_gaps(obs: DataFrame, keys: list[str], temporal: str = "temporal", stamp: str = "obs_ts") -> DataFrame:
+    """Holes inside what is held: `keys..., gap_start, gap_end`, both of them stamps that are missing.
+
+    Neighbouring stamps are compared inside blocks (a year of days, a month of hours), so however
+    long the history of one key is, a task orders one block of it. Blocks are then stitched by
+    their first and last stamps, of which a key has one pair a block. No calendar is built.
+    """
+    at = F.col(stamp)
+    block = F.when(F.col(temporal) == "hourly", F.year(at) * 12 + F.month(at)).otherwise(F.year(at))
+    # repeats (variants of a key, copies of a row) go before anything is ordered
+    held = obs.select(*keys, F.col(stamp).cast("timestamp_ntz").alias(stamp)).withColumn("_block", block).distinct()
+    inside = held.withColumn("_before", F.lag(stamp).over(Window.partitionBy(*keys, "_block").orderBy(stamp))).drop("_block")
+    blocks = held.groupBy(*keys, "_block").agg(F.min(stamp).alias("_first"), F.max(stamp).alias("_last"))
+    seams = blocks.select(*keys, F.col("_first").alias(stamp), F.lag("_last").over(Window.partitionBy(*keys).orderBy("_block")).alias("_before"))
+    step = _step(temporal)
+    return (inside.unionByName(seams).where(at - F.col("_before") > step)
+            .select(*keys, (F.col("_before") + step).alias("gap_start"), (at - step).alias("gap_end")))
+
+
+def fetch_holes(requests: DataFrame, obs: DataFrame, keys: list[str], temporal: str = "temporal",
+                start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """One row per range that a request lacks, holes inside the held span included.
+
+    The fetch plan of the other mode: nothing held is asked for again and nothing outside a request is, so disjoint
+    requests are not bridged. `keys` include the resolution. Holes and requests meet on
+    the key and a year they share, and each pair is kept in the first such year.
+    """
+    begin, finish = _asked_window(temporal, start, end)
+    asked = requests.withColumns({"_s": begin, "_e": finish}).where("_s <= _e")
+    mine = obs.join(requests.select(*keys).distinct(), keys, "left_semi")
+    bounds = mine.groupBy(*keys).agg(F.min("obs_ts").alias("_lo"), F.max("obs_ts").alias("_hi"))
+    step = _step(temporal)
+    low, high, s, e = (F.col(c) for c in ("_lo", "_hi", "_s", "_e"))
+
+    def span(first: Column, last: Column) -> Column:
+        return F.when(first <= last, F.struct(first.alias("range_start"), last.alias("range_end")))
+
+    edges = F.when(low.isNull(), F.array(span(s, e))).otherwise(F.array_compact(F.array(
+        span(s, F.least(e, low - step)), span(F.greatest(s, high + step), e))))
+    outside = asked.join(bounds, keys, "left").select(*requests.columns, F.explode(edges).alias("_r")).select(*requests.columns, "_r.*")
+
+    def years(frame: DataFrame, first: str, last: str) -> DataFrame:
+        return frame.withColumn("_year", F.explode(F.sequence(F.year(first), F.year(last))))
+
+    gaps = years(held_gaps(mine, keys, temporal), "gap_start", "gap_end")
+    met = years(asked, "_s", "_e").join(gaps, [*keys, "_year"]).where((F.col("gap_start") <= e) & (F.col("gap_end") >= s))
+    inside = met.where(F.col("_year") == F.greatest(F.year(s), F.year("gap_start"))).select(
+        *requests.columns, F.greatest(s, F.col("gap_start")).alias("range_start"), F.least(e, F.col("gap_end")).alias("range_end"))
+    return outside.unionByName(inside).withColumns({"start_key": date_key(F.col("range_start")), "end_key": date_key(F.col("range_end"))})
+
+
 def fetch_payloads(plan: DataFrame, keys: list[str]) -> DataFrame:
     """One row per call to the service: `keys, temporal, range_start, range_end, chunk_no, params`.
 
@@ -190,6 +266,22 @@ def served_from(planned: DataFrame, status: str = "fetch_status") -> DataFrame:
         .otherwise(F.lit("error")))
 
 
+def stale_rows(served: DataFrame, history: DataFrame, keys: list[str], temporal: str = "temporal",
+               start: str = "start_date", end: str = "end_date") -> DataFrame:
+    """Held rows of the windows of stale requests: the request's columns, `obs_ts` and `value`.
+
+    `served` is what `served_from` returns. A window and the history meet on the key and the year, of which
+    a window covers few, and the bounds then decide; a key with a long history is spread over its years.
+    """
+    begin, finish = _asked_window(temporal, start, end)
+    asked = served.where("served_from = 'stale'").withColumns({"_s": begin, "_e": finish}).where("_s <= _e")
+    windows = asked.withColumn("year", F.explode(F.sequence(F.year("_s"), F.year("_e"))))
+    rows = history if "year" in history.columns else history.withColumn("year", F.year("obs_ts"))
+    rows = rows.select(*keys, "year", F.col("obs_ts").cast("timestamp_ntz").alias("obs_ts"), "value")
+    return (windows.join(rows, [*keys, "year"]).where(F.col("obs_ts").between(F.col("_s"), F.col("_e")))
+            .select(*served.columns, "obs_ts", "value"))
+
+
 def failed_points(requests: DataFrame, results: DataFrame, reasons: DataFrame, keys: list[str]) -> DataFrame:
     """Requests without a result row, each with a `reason`.
 

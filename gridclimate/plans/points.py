@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridclimate.functions.dates import calendar, iso_bound
-from gridclimate.functions.grid import cell_lat_index, cell_lon_index, variant_of, with_cell
+from gridclimate.functions.grid import asked_tiles, cell_lat_index, cell_lon_index, variant_of, with_cell
 from gridclimate.sources.catalog import SOLAR, with_catalog
 from gridclimate.sources.store import select_window
 
@@ -80,9 +80,14 @@ def site_cells(sites: DataFrame, params: list[str], match_variant: bool = True)
     return with_cell(expanded)
 
 
+def site_tiles(sites: DataFrame, params: list[str]) -> list[int]:
+    """Tiles of the store that the sites lie in; give them to a plan and the other tiles are never opened."""
+    return asked_tiles(site_cells(sites, params, match_variant=False))
+
+
 def multi_point_long(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
                      temporal: str = "daily", match_variant: bool = True,
-                     site_columns: list[str] | None = None) -> DataFrame:
+                     site_columns: list[str] | None = None, tiles: list[int] | None = None) -> DataFrame:
     """Observations of every site, long: site columns, `param, obs_ts, value`.
 
     Repeated sites stay repeated. No side is hinted: a small site list is
@@ -91,7 +96,7 @@ def multi_point_long(store: DataFrame, sites: DataFrame, start: str, end: str, p
     """
     carried = site_columns or [c for c in SITE_COLUMNS if c in sites.columns]
     cells = site_cells(sites, params, match_variant).select(*carried, *CELL_KEY)
-    window = select_window(store, temporal, params, start, end).select(*CELL_KEY, "obs_ts", "value")
+    window = select_window(store, temporal, params, start, end, tiles=tiles).select(*CELL_KEY, "obs_ts", "value")
     return cells.join(window, CELL_KEY).select(*carried, "param", "obs_ts", "value")
 
 
@@ -123,7 +128,7 @@ def _spot_cells(spots: DataFrame, params: list[str]) -> DataFrame:
 
 def multi_point(store: DataFrame, sites: DataFrame, start: str, end: str, params: list[str],
                 temporal: str = "daily", match_variant: bool = True, calendar_if_silent: bool = False,
-                end_of_day: bool = False) -> DataFrame:
+                end_of_day: bool = False, tiles: list[int] | None = None) -> DataFrame:
     """Wide series of every site: site columns, `obs_ts`, one column per parameter.
 
     Observations are looked up and made wide once per distinct spot, and only
@@ -131,13 +136,14 @@ def multi_point(store: DataFrame, sites: DataFrame, start: str, end: str, params
     sites sharing a cell share the work. The last join is an equi-join whose site
     side adaptive execution can split when one cell holds many sites.
     With `calendar_if_silent`, sites without any row get a NULL calendar. With
-    `end_of_day`, an hourly window takes all hours of a bare end date.
+    `end_of_day`, an hourly window takes all hours of a bare end date. `tiles` (see
+    `site_tiles`) names the store's tiles that the sites lie in.
     """
     carried = [c for c in SITE_COLUMNS if c in sites.columns]
     placed, spot = with_spot(sites, params, match_variant)
     spots = placed.select(*spot).distinct()
     asked = _spot_cells(spots, params)
-    window = select_window(store, temporal, params, start, end, end_of_day)
+    window = select_window(store, temporal, params, start, end, end_of_day, tiles)
     wide = to_wide(asked.join(window.select(*CELL_KEY, "obs_ts", "value"), CELL_KEY), [*spot, "obs_ts"], params)
     if calendar_if_silent:
         # Which spots are held needs only the distinct cells; the distinct

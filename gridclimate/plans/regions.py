@@ -1,7 +1,8 @@
 """Bounding-box questions: all cells whose centre lies in a box.
 
 A box is turned into the list of its cell indexes and joined on equality, so
-there is no range join however many boxes are asked.
+there is no range join however many boxes are asked. With `wrap`, longitudes are a circle:
+a box whose `lon_min` is above its `lon_max` runs east across the antimeridian.
 """
 
 from __future__ import annotations
@@ -9,17 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclimate.functions.grid import cell_centre_lat, cell_centre_lon, cell_lat_index, grid_value
+from gridclimate.functions.grid import asked_tiles, cell_centre_lat, cell_centre_lon, cell_lat_index, grid_value
 from gridclimate.operators.requests import box_checks
 from gridclimate.sources.catalog import MAX_BOX_DEGREES
 from gridclimate.sources.store import select_window
 
 
-def region_cells(regions: DataFrame) -> DataFrame:
+def east_edge(wrap: bool) -> Column:
+    """Upper longitude of a box on an axis that goes on beyond 180 where the box does."""
+    lon_min, lon_max = F.col("lon_min"), F.col("lon_max")
+    return F.when(lon_min > lon_max, lon_max + 360.0).otherwise(lon_max) if wrap else lon_max
+
+
+def region_cells(regions: DataFrame, wrap: bool = False) -> DataFrame:
     """One row per box and cell: adds `cell_lat, cell_lon, lat, lon` (the cell centre).
 
     Takes `lat_min, lat_max, lon_min, lon_max, param`; bounds are inclusive. The
-    index range is one cell generous and the exact centre test decides.
+    index range is one cell generous and the exact centre test decides. With `wrap` a box may
+    cross the antimeridian; the cell on it is listed once, with the longitude of its own index.
     """
     param = F.col("param")
 
@@ -31,29 +39,35 @@ def region_cells(regions: DataFrame) -> DataFrame:
     rows = (rows.withColumn("lat", cell_centre_lat(F.col("_la"), param))
             .where(F.col("lat").between(F.col("lat_min"), F.col("lat_max")))
             .where(F.col("_la").between(0, grid_value(param, "n_lat") - 1)))
-    rows = rows.withColumn("_lo", F.explode(indexes(F.col("lon_min"), F.col("lon_max"), "lon_step", 180.0)))
-    return (rows.withColumn("lon", cell_centre_lon(F.col("_lo"), param))
-            .where(F.col("lon").between(F.col("lon_min"), F.col("lon_max")))
-            .withColumns({"cell_lat": F.col("_la").cast("int"),
-                          "cell_lon": F.pmod(F.col("_lo"), grid_value(param, "n_lon").cast("bigint")).cast("int")})
-            .drop("_la", "_lo"))
+    rows = rows.withColumn("_lo", F.explode(indexes(F.col("lon_min"), east_edge(wrap), "lon_step", 180.0)))
+    column = F.pmod(F.col("_lo"), grid_value(param, "n_lon").cast("bigint"))
+    rows = rows.withColumn("lon", cell_centre_lon(F.col("_lo"), param)).where(F.col("lon").between(F.col("lon_min"), east_edge(wrap)))
+    if wrap:  # once round the globe at most
+        first = F.floor((F.col("lon_min") + 180.0) / grid_value(param, "lon_step") + grid_value(param, "anchor") - 0.5)
+        rows = rows.where(F.col("_lo") - first < grid_value(param, "n_lon")).withColumn("lon", cell_centre_lon(column, param))
+    return (rows.withColumns({"cell_lat": F.col("_la").cast("int"), "cell_lon": column.cast("int")}).drop("_la", "_lo"))
+
+
+def region_tiles(regions: DataFrame, wrap: bool = False) -> list[int]:
+    """Tiles of the store that the boxes touch."""
+    return asked_tiles(region_cells(regions, wrap))
 
 
 def region_query(store: DataFrame, regions: DataFrame, start: str, end: str, enforce_span: bool = True,
                  key: str = "region_id", params: list[str] | None = None,
-                 bounds: tuple[float, float] | None = None) -> DataFrame:
+                 bounds: tuple[float, float] | None = None, wrap: bool = False, tiles: list[int] | None = None) -> DataFrame:
     """Daily values of every cell in every valid box: `key, param, obs_ts, lat, lon, value`.
 
     Boxes that break a rule are left out; `validate_regions` reports them. With
     `enforce_span=False` boxes of any size are answered. `params` names the
-    parameters that the boxes ask for and `bounds` the latitudes they span, so the
-    scan prunes by them whatever join is chosen.
+    parameters that the boxes ask for, `bounds` the latitudes they span and `tiles` the tiles of the
+    store they touch, so the scan prunes by them whatever join is chosen.
     """
-    valid = regions.where(F.size(F.array_compact(F.array(*box_checks(enforce_span)))) == 0)
-    cells = region_cells(valid).select(key, "param", "cell_lat", "cell_lon", "lat", "lon")
+    valid = regions.where(F.size(F.array_compact(F.array(*box_checks(enforce_span, wrap)))) == 0)
+    cells = region_cells(valid, wrap).select(key, "param", "cell_lat", "cell_lon", "lat", "lon")
     if params:
         valid = valid.where(F.col("param").isin(list(params)))
-    window = select_window(store, "daily", params, start, end)
+    window = select_window(store, "daily", params, start, end, tiles=tiles)
     if bounds:
         rows = [(cell_lat_index(F.lit(float(bounds[0])), F.col("param")) - 1), (cell_lat_index(F.lit(float(bounds[1])), F.col("param")) + 1)]
         if params and len(params) == 1:  # plain numbers reach the row groups
@@ -65,23 +79,41 @@ def region_query(store: DataFrame, regions: DataFrame, start: str, end: str, enf
             .select(key, "param", "obs_ts", "lat", "lon", "value"))
 
 
-def tile_boxes(regions: DataFrame, key: str = "region_id", span: float = MAX_BOX_DEGREES) -> DataFrame:
+def tile_boxes(regions: DataFrame, key: str = "region_id", span: float = MAX_BOX_DEGREES, wrap: bool = False) -> DataFrame:
     """Cut boxes into tiles no wider than `span`, for services with a size limit.
 
     Adds `tile_no` and replaces the bounds. Neighbouring tiles share an edge, so
-    rows on an edge arrive twice and the keep-first merge drops the repeat.
+    rows on an edge arrive twice and `tiled_rows` drops the repeat. With `wrap`, a box across the
+    antimeridian is cut there first, so no tile crosses it.
     """
-    def cut(low: str, high: str) -> Column:
-        n = F.greatest(F.ceil((F.col(high) - F.col(low)) / span), F.lit(1))
-        width = (F.col(high) - F.col(low)) / n
+    def cut(low: Column, high: Column) -> Column:
+        n = F.greatest(F.ceil((high - low) / span), F.lit(1))
+        width = (high - low) / n
         return F.transform(F.sequence(F.lit(0).cast("bigint"), n - 1), lambda i: F.struct(
-            (F.col(low) + i * width).alias("low"),
-            F.when(i == n - 1, F.col(high)).otherwise(F.col(low) + (i + 1) * width).alias("high")))
+            (low + i * width).alias("low"), F.when(i == n - 1, high).otherwise(low + (i + 1) * width).alias("high")))
 
+    lon_min, lon_max = F.col("lon_min"), F.col("lon_max")
+    lon = cut(lon_min, lon_max)
+    if wrap:
+        lon = F.when(lon_min > lon_max, F.concat(cut(lon_min, F.lit(180.0)), cut(F.lit(-180.0), lon_max))).otherwise(lon)
     keep = [c for c in regions.columns if c not in ("lat_min", "lat_max", "lon_min", "lon_max")]
-    rows = (regions.withColumns({"_lat": cut("lat_min", "lat_max"), "_lon": cut("lon_min", "lon_max")})
+    rows = (regions.withColumns({"_lat": cut(F.col("lat_min"), F.col("lat_max")), "_lon": lon})
             .select(*keep, "_lon", F.posexplode("_lat").alias("_i", "_a"))
             .select(*keep, "_i", "_a", F.size("_lon").alias("_w"), F.posexplode("_lon").alias("_j", "_b")))
     return rows.select(*keep, (F.col("_i") * F.col("_w") + F.col("_j") + 1).alias("tile_no"),
                        F.col("_a.low").alias("lat_min"), F.col("_a.high").alias("lat_max"),
                        F.col("_b.low").alias("lon_min"), F.col("_b.high").alias("lon_max"))
+
+
+def tiled_rows(store: DataFrame, tiled: DataFrame, start: str, end: str, key: str = "region_id",
+               params: list[str] | None = None, tiles: list[int] | None = None) -> DataFrame:
+    """Rows of boxes that were cut by `tile_boxes`, each cell once: `key, param, obs_ts, lat, lon, value`.
+
+    The repeat of a shared edge is dropped among the cells, before any history is joined. +180 and
+    -180 are one meridian, so its cell also counts once.
+    """
+    valid = tiled.where(F.size(F.array_compact(F.array(*box_checks()))) == 0)
+    cells = region_cells(valid, wrap=True).groupBy(key, "param", "cell_lat", "cell_lon").agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"))
+    window = select_window(store, "daily", params, start, end, tiles=tiles).where(F.col("variant") == "base")
+    return (cells.join(window.select("param", "cell_lat", "cell_lon", "obs_ts", "value"), ["param", "cell_lat", "cell_lon"])
+            .select(key, "param", "obs_ts", "lat", "lon", "value"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridclimate.functions.grid import grid_value, with_cell
+from gridclimate.functions.grid import asked_tiles, grid_value, with_cell
 from gridclimate.functions.text import round_half_even
 from gridclimate.plans.points import CELL_KEY
 from gridclimate.sources.store import select_window
@@ -66,22 +66,32 @@ def transect_points(counted: DataFrame, key: str = "transect_id") -> DataFrame:
                     F.concat(F.lit("Point_"), (i + 1).cast("string")).alias("name"), "params"))
 
 
+def transect_cells(transects: DataFrame, key: str = "transect_id", params: list[str] | None = None) -> DataFrame:
+    """One row per sample and parameter, with its cell; `params` leaves out all others."""
+    samples = (transect_points(transect_counts(transects), key)
+               .withColumn("param", F.explode("params")).withColumn("variant", F.lit("base")))
+    if params:
+        samples = samples.where(F.col("param").isin(list(params)))
+    return with_cell(samples).select(key, "point_no", "lat", "lon", "name", *CELL_KEY)
+
+
+def transect_tiles(transects: DataFrame, key: str = "transect_id", params: list[str] | None = None) -> list[int]:
+    """Tiles of the store that the transects cross."""
+    return asked_tiles(transect_cells(transects, key, params))
+
+
 def transect_query(store: DataFrame, transects: DataFrame, start: str, end: str,
-                   temporal: str = "daily", key: str = "transect_id", params: list[str] | None = None) -> DataFrame:
+                   temporal: str = "daily", key: str = "transect_id", params: list[str] | None = None,
+                   tiles: list[int] | None = None) -> DataFrame:
     """Series along each transect, long: `key, point_no, lat, lon, name, param, obs_ts, value`.
 
     Each transect may ask for its own parameters; `params` names all that are asked
-    for, so the scan prunes by them. History is fetched once per distinct cell.
+    for and `tiles` the tiles they cross, so the scan prunes by them. One equi-join, whose
+    history side is read and, if at all, shuffled once.
     """
-    samples = (transect_points(transect_counts(transects), key)
-               .withColumn("param", F.explode("params")).withColumn("variant", F.lit("base")))
-    carried = [key, "point_no", "lat", "lon", "name"]
-    cells = with_cell(samples).select(*carried, *CELL_KEY)
-    if params:
-        cells = cells.where(F.col("param").isin(list(params)))
-    window = select_window(store, temporal, params, start, end).select(*CELL_KEY, "obs_ts", "value")
-    history = window.join(cells.select(*CELL_KEY).distinct(), CELL_KEY, "left_semi")
-    return cells.join(history, CELL_KEY).select(*carried, "param", "obs_ts", "value")
+    cells = transect_cells(transects, key, params)
+    window = select_window(store, temporal, params, start, end, tiles=tiles).select(*CELL_KEY, "obs_ts", "value")
+    return cells.join(window, CELL_KEY).select(key, "point_no", "lat", "lon", "name", "param", "obs_ts", "value")
 
 
 def silent_transects(transects: DataFrame, answered: DataFrame, key: str = "transect_id") -> DataFrame:

@@ -140,6 +140,31 @@ def bad_date_keys(df: DataFrame, place: bool = False) -> DataFrame:
             .drop("obs_ts"))
 
 
+def point_outcomes(df: DataFrame, place: bool = False) -> DataFrame:
+    """Every value of every point response and every body without any, from one parse.
+
+    Carries the other columns and adds `param, date_key, temporal, obs_ts, value` (with `place`
+    also `lat, lon`) and `reason`, which is NULL for a row to keep. Where `df` has a
+    `resolution`, as a request manifest does, keys of the other one are refused.
+    """
+    keep = [c for c in df.columns if c not in ("body", "http_status", "resolution")]
+    spot = F.col("_doc.geometry.coordinates")
+    reason = F.coalesce(_failure_reason(), _place_reason(spot)) if place else _failure_reason()
+    asked = F.col("resolution") if "resolution" in df.columns else F.lit(None).cast("string")
+    judged = _parsed(df, POINT_JSON).withColumns({"reason": reason, "_asked": asked})
+    if place:
+        judged = judged.withColumns({"lat": F.get(spot, F.lit(1)), "lon": F.get(spot, F.lit(0))})
+        keep += ["lat", "lon"]
+    keep += ["reason", "_asked"]
+    series = judged.select(*keep, F.explode_outer(F.when(F.col("reason").isNull(), F.col("_doc.properties.parameter"))).alias("param", "_series"))
+    values = series.select(*keep, "param", F.explode_outer("_series").alias("date_key", "_raw")).where("reason is not null or date_key is not null")
+    dated = values.withColumns({**_date_columns(F.col("date_key")), "value": clean_value(F.col("_raw"))})
+    other = F.col("_asked").isNotNull() & (F.col("_asked") != F.col("temporal"))
+    wrong = (F.when(F.col("temporal").isNull(), F.lit("unrecognised date key")).when(F.col("obs_ts").isNull(), F.lit("unreadable date key"))
+             .when(other, F.lit("date key of another resolution")))
+    return dated.withColumn("reason", F.coalesce("reason", F.when(F.col("date_key").isNotNull(), wrong))).drop("_raw", "_asked")
+
+
 def _features(df: DataFrame) -> tuple[DataFrame, list[str]]:
     keep = [c for c in df.columns if c not in ("body", "http_status")]
     good = _parsed(df, REGION_JSON).where(_failure_reason("region").isNull())

@@ -386,11 +386,10 @@ def mean_by_site(spark, sf_dir):
 
 
 @query("window_totals", """
-select site_id,
-       round_even(100 * (cast(sum(case when param = 'T2M' then cast(value as decimal(18, 6)) end) as double)
-           / count(case when param = 'T2M' then value end)), 0) / 100 as mean_temperature,
-       round_even(100 * coalesce(cast(sum(case when param = 'PRECTOTCORR' then cast(value as decimal(18, 6)) end) as double), 0), 0) / 100 as total_rain
-from v_obs where """ + WINDOW + " group by site_id")
+with wide as (select site_id, param, value, cast(value::varchar as decimal(28, 15)) as exact from v_obs where """ + WINDOW + """)
+select site_id, round_even(100 * (cast(sum(case when param = 'T2M' then exact end) as double) / count(case when param = 'T2M' then value end)), 0) / 100 as mean_temperature,
+       round_even(100 * coalesce(cast(sum(case when param = 'PRECTOTCORR' then exact end) as double), 0), 0) / 100 as total_rain
+from wide group by site_id""")
 def window_totals(spark, sf_dir):
     obs = select_window(v.observations(spark, sf_dir), start=START, end=END)
     return profile.window_totals(obs, ["site_id"], mean="T2M", total="PRECTOTCORR").withColumnsRenamed(
@@ -489,9 +488,9 @@ def validate_limits(spark, sf_dir):
     return req.validate_requests(asked).select("request_id", F.array_join("violations", "; ").alias("violations"))
 
 
-@query("request_key", """
-select request_id, 'v1_' || sha256(concat_ws('|', temporal, params_csv, format('{:.6f}', lat), format('{:.6f}', lon),
-       coalesce(format('{:.6f}', elevation), '-'), coalesce(format('{:.6f}', wind_elevation), '-'), '-')) as request_key
+@query("request_key", r"""
+select request_id, 'v1_' || sha256(concat_ws('|', temporal, params_csv, lat::varchar, lon::varchar,
+       coalesce(elevation::varchar, '\N'), coalesce(wind_elevation::varchar, '\N'), '\N')) as request_key
 from v_requests r join v_points p on p.site_id = r.site_id""")
 def request_key(spark, sf_dir):
     sites = v.view(spark, sf_dir, "v_points").select("site_id", "lat", "lon", "elevation")
@@ -574,6 +573,48 @@ def stale_fallback(spark, sf_dir):
     return req.served_from(_planned(spark, sf_dir)).select("request_id", "site_id", "param", "fetch_status", "served_from")
 
 
+HISTORY = """
+history as (select 'daily' as temporal, site_id, param, cast(obs_date as timestamp) as ts, value from v_held
+            union all select 'hourly', site_id, param, hr, value from v_hourly where cast(hr as date) between date '2024-01-05' and date '2024-01-20')"""
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held rows of both resolutions."""
+    hours = select_window(v.hourly_observations(spark, sf_dir), start="2024-01-05", end="2024-01-20", end_of_day=True)
+    columns = ["site_id", "param", "obs_ts", "value"]
+    return _held(spark, sf_dir).select(*columns, F.lit("daily").alias("temporal")).unionByName(hours.select(*columns, F.lit("hourly").alias("temporal")))
+
+
+@query("stale_rows", f"""
+with {PLAN}, {HISTORY}, n as (select a.request_id, a.site_id, a.param, a.temporal, a.lo, a.s, a.e, a.fetch_status, count(p.edge) as k from asked a
+  left join pieces p on p.request_id = a.request_id and p.param = a.param group by all)
+select request_id, n.site_id, n.param, n.temporal, ts as obs_ts, value from n join history h
+  on h.site_id = n.site_id and h.param = n.param and h.temporal = n.temporal and h.ts between n.s and n.e
+where k > 0 and fetch_status not in ('ok', 'HTTP 422') and lo is not null""")
+def stale_rows(spark, sf_dir):
+    served = req.served_from(_planned(spark, sf_dir))
+    return req.stale_rows(served, _history(spark, sf_dir), ["site_id", "param", "temporal"]).select(
+        "request_id", "site_id", "param", "temporal", "obs_ts", "value")
+
+
+@query("fetch_plan_holes", f"""
+with {PLAN}, {HISTORY}, spaced as (
+  select *, lag(ts) over (partition by temporal, site_id, param order by ts) as prev,
+         case when temporal = 'hourly' then interval 1 hour else interval 24 hour end as gap from history),
+ranges as (
+  select request_id, site_id, param, temporal, s as range_start, e as range_end from asked where lo is null and s <= e
+  union all select request_id, site_id, param, temporal, s, least(e, lo - step) from asked where s < lo and s <= e
+  union all select request_id, site_id, param, temporal, greatest(s, hi + step), e from asked where e > hi and s <= e
+  union all select request_id, a.site_id, a.param, a.temporal, greatest(s, prev + gap), least(e, ts - gap)
+    from asked a join spaced h on h.site_id = a.site_id and h.param = a.param and h.temporal = a.temporal
+    where ts - prev > gap and prev + gap <= e and ts - gap >= s and s <= e)
+select *, strftime(range_start, '%Y%m%d') as start_key, strftime(range_end, '%Y%m%d') as end_key from ranges""")
+def fetch_plan_holes(spark, sf_dir):
+    per_param = v.requests(spark, sf_dir).withColumn("param", F.explode("params"))
+    return req.fetch_holes(per_param, _history(spark, sf_dir), ["site_id", "param", "temporal"]).select(
+        "request_id", "site_id", "param", "temporal", "range_start", "range_end", "start_key", "end_key")
+
+
 FAILED = f"""{PLAN}, n as (select a.request_id, a.param, a.lo, a.fetch_status, count(p.edge) as k from asked a
   left join pieces p on p.request_id = a.request_id and p.param = a.param group by all),
 served as (select distinct request_id from n
@@ -788,8 +829,57 @@ with {REGION_ROWS} select region_id, obs_ts, lat, lon, case when param = 'T2M' t
 def union_regions(spark, sf_dir):
     held, boxes = v.store(spark, sf_dir), v.view(spark, sf_dir, "v_regions")
     asked = ["T2M", "ALLSKY_SFC_SW_DWN"]
-    answer = regions.region_query(held, boxes, START, END, params=asked)  # one pass over the store for all of them
-    return answer.select("region_id", "obs_ts", "lat", "lon", *[F.when(F.col("param") == p, F.col("value")).alias(p) for p in asked])
+    answer = regions.region_query(held, boxes, START, END, params=asked)
+    # one frame a parameter, each with a column of its own
+    frames = [answer.where(F.col("param") == p).select("region_id", "obs_ts", "lat", "lon", F.col("value").alias(p)) for p in asked]
+    return merge.union_columns(*frames)
+
+
+WRAPPED = """
+boxes as (select n_nationkey * 1000000 + c_custkey % 1000 as box, case when c_custkey % 2 = 0 then 'T2M' else 'ALLSKY_SFC_SW_DWN' end as param,
+                 min(lat) - 1.5e0 as lat_min, min(lat) + 1.5e0 as lat_max, 177e0 + n_nationkey % 4 as lon_min, -179e0 + n_nationkey % 3 as lon_max
+          from customer join nation on n_nationkey = c_nationkey join v_points on site_id = c_custkey group by all),
+valid as (select * from boxes where lat_min >= -90 and lat_max <= 90 and lon_max + 360 - lon_min <= 4.5 and lon_min <= 180),
+cells as (select *, case when param like 'ALLSKY%' then cell_lat + 0.5e0 - 90 else cell_lat * 0.5e0 - 90 end as lat,
+                 case when param like 'ALLSKY%' then cell_lon + 0.5e0 - 180 else cell_lon * 0.625e0 - 180 end as lon
+          from v_store)
+select box as region_id, v.param, cast(obs_date as timestamp) as obs_ts, lat, lon, value
+from valid v join cells c on c.param = v.param and c.lat between v.lat_min and v.lat_max and (c.lon >= v.lon_min or c.lon <= v.lon_max)"""
+
+
+def _wrapped_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Boxes across the antimeridian at the latitudes of customers, by nation."""
+    nation, k = F.col("n_nationkey"), F.col("c_custkey")
+    rows = v.table(spark, sf_dir, "customer").join(v.table(spark, sf_dir, "nation"), F.col("c_nationkey") == nation).join(
+        v.view(spark, sf_dir, "v_points").select("site_id", "lat"), F.col("site_id") == k)
+    return rows.groupBy((nation * 1000000 + k % 1000).alias("region_id"), F.when(k % 2 == 0, "T2M").otherwise("ALLSKY_SFC_SW_DWN").alias("param"),
+                        (177.0 + nation % 4).alias("lon_min"), (-179.0 + nation % 3).alias("lon_max")).agg(F.min("lat").alias("_lat")).select(
+        "region_id", "param", (F.col("_lat") - 1.5).alias("lat_min"), (F.col("_lat") + 1.5).alias("lat_max"), "lon_min", "lon_max")
+
+
+@query("region_wrapped", f"with {WRAPPED}")
+def region_wrapped(spark, sf_dir):
+    return regions.region_query(v.store(spark, sf_dir), _wrapped_boxes(spark, sf_dir), "2024-01-01", "2024-12-31", wrap=True,
+                                params=["T2M", "ALLSKY_SFC_SW_DWN"])
+
+
+@query("region_tiled", f"""
+with boxes as (select site_id as region_id, case when site_id % 2 = 0 then 'T2M' else 'ALLSKY_SFC_SW_DWN' end as param, lat - 1.75e0 as lat_min,
+                      least(lat + 7e0, 90e0) as lat_max, lon as lon_min, case when lon + 11e0 > 180 then lon + 11e0 - 360 else lon + 11e0 end as lon_max from v_points),
+cells as (select *, case when param like 'ALLSKY%' then cell_lat + 0.5e0 - 90 else cell_lat * 0.5e0 - 90 end as lat,
+                 case when param like 'ALLSKY%' then cell_lon + 0.5e0 - 180 else cell_lon * 0.625e0 - 180 end as lon
+          from v_store where {{WINDOW}})
+select region_id, b.param, cast(obs_date as timestamp) as obs_ts, c.lat, c.lon, value
+from boxes b join cells c on c.param = b.param and c.lat between b.lat_min and b.lat_max
+  and case when b.lon_min <= b.lon_max then c.lon between b.lon_min and b.lon_max else c.lon >= b.lon_min or c.lon <= b.lon_max end
+where b.lat_min >= -90""".replace("{WINDOW}", WINDOW))
+def region_tiled(spark, sf_dir):
+    east = F.col("lon") + 11.0
+    boxes = v.view(spark, sf_dir, "v_points").select(
+        F.col("site_id").alias("region_id"), F.when(F.col("site_id") % 2 == 0, "T2M").otherwise("ALLSKY_SFC_SW_DWN").alias("param"),
+        (F.col("lat") - 1.75).alias("lat_min"), F.least(F.col("lat") + 7.0, F.lit(90.0)).alias("lat_max"), F.col("lon").alias("lon_min"),
+        F.when(east > 180, east - 360.0).otherwise(east).alias("lon_max")).where("lat_min >= -90")
+    return regions.tiled_rows(v.store(spark, sf_dir), regions.tile_boxes(boxes, wrap=True), START, END, params=["T2M", "ALLSKY_SFC_SW_DWN"])
 
 
 # --- streaming ------------------------------------------------------------------------------
@@ -814,6 +904,62 @@ def store_append_stats(spark, sf_dir):
     return streams.appended_store(spark, sf_dir).stats().select("entries", "row_count", "oldest", "newest")
 
 
+@query("coverage_incremental", """
+select param, cell_lat, cell_lon, cast(min(obs_date) as timestamp) as held_min, cast(max(obs_date) as timestamp) as held_max,
+       count(*) as held_rows from v_store group by param, cell_lat, cell_lon""")
+def coverage_incremental(spark, sf_dir):
+    store = streams.appended_store(spark, sf_dir, turns=2)
+    store.fold()
+    streams.append_quarters(spark, sf_dir, store, streams.BATCHES[2:])  # deltas after the fold
+    return store.coverage().select("param", "cell_lat", "cell_lon", "held_min", "held_max", "held_rows")
+
+
+@query("store_compact", """
+with placed as (
+  select o.*, case when param like 'ALLSKY%' then least(floor(lat + 90), 179) else least(floor((lat + 90) / 0.5e0 + 0.5e0), 360) end as la,
+         case when param like 'ALLSKY%' then cast(floor(lon + 180) as bigint) % 360
+              else cast(floor((lon + 180) / 0.625e0 + 0.5e0) as bigint) % 576 end as lo
+  from v_obs_raw o join v_points p on p.site_id = o.site_id)
+select param, cast(la as int) as cell_lat, cast(lo as int) as cell_lon, cast(obs_date as timestamp) as obs_ts,
+       nullif(arg_min_null(raw_value, (seq % 4) * 1000000000000 + seq), -999) as value
+from placed group by all""")
+def store_compact(spark, sf_dir):
+    store = streams.appended_store(spark, sf_dir, turns=2)
+    store.compact()
+    streams.append_quarters(spark, sf_dir, store, streams.BATCHES[2:])  # appends go on after it
+    store.compact()
+    return store.read().select("param", "cell_lat", "cell_lon", "obs_ts", "value")
+
+
+@query("multi_point_stored", f"""
+select site_id, lat, lon, name, elevation, cast(obs_date as timestamp) as obs_ts, {WIDE}
+from v_site_cells s join v_store o using (param, cell_lat, cell_lon)
+where {WINDOW} and param in ({', '.join(repr(p) for p in PARAMS)}) group by all""")
+def multi_point_stored(spark, sf_dir):
+    sites = v.view(spark, sf_dir, "v_points")
+    tiles = points.site_tiles(sites, PARAMS)
+    held = streams.stored_observations(spark, sf_dir).read("daily", PARAMS, START, END, tiles=tiles)
+    return points.multi_point(held, sites, START, END, PARAMS, match_variant=False, tiles=tiles)
+
+
+@query("multi_point_manifest", f"""
+select site_id, lat, lon, name, s.elevation, cast(obs_date as timestamp) as obs_ts, {WIDE}
+from v_site_cells s join v_store_adjusted o
+  on s.param = o.param and s.cell_lat = o.cell_lat and s.cell_lon = o.cell_lon and s.elevation is not distinct from o.elevation
+where {WINDOW} and s.param in ({', '.join(repr(p) for p in PARAMS)}) group by all""".replace("case when param", "case when s.param"))
+def multi_point_manifest(spark, sf_dir):
+    held = streams.ingest_requests(spark, sf_dir).read("daily", PARAMS, START, END)
+    return points.multi_point(held, v.view(spark, sf_dir, "v_points"), START, END, PARAMS)
+
+
+@query("stream_rejects", """
+select seq as response_id, case when seq % 6 = 3 then param end as param, case when seq % 6 = 3 then strftime(obs_date, '%Y%m%d') end as date_key,
+       case seq % 6 when 1 then 'HTTP 422' when 2 then 'HTTP 500' else 'date key of another resolution' end as reason
+from v_obs_raw join v_points using (site_id) where seq % 6 in (1, 2, 3)""")
+def stream_rejects(spark, sf_dir):
+    return streams.refused_requests(spark, sf_dir)
+
+
 @query("stream_ingest", """
 select param, cell_lat, cell_lon, cast(obs_date as timestamp) as obs_ts, value from v_store""")
 def stream_ingest(spark, sf_dir):
