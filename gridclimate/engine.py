@@ -109,9 +109,11 @@ class ClimateEngine:
         good, bad = coord.split_sites(coord.standardise_sites(listed))
         low, high = cat.WIND_ELEVATION_RANGE
         windy = F.coalesce(~F.col("wind_elevation").between(low, high), F.lit(False))
+        odd = F.col("site_warning").isNotNull() if "site_warning" in good.columns else F.lit(False)
+        named = F.col("site_warning") if "site_warning" in good.columns else F.lit(None).cast("string")
         failed = bad.withColumn("reason", F.col("coord_error")).unionByName(
-            good.where(windy).withColumn("reason", F.lit(f"wind elevation outside [{low:g}, {high:g}]")))
-        usable = good.where(~windy)
+            good.where(windy | odd).withColumn("reason", F.coalesce(named, F.lit(f"wind elevation outside [{low:g}, {high:g}]"))))
+        usable = good.where(~windy & ~odd)
         held = self._held(params, start, end, self._tiles(points.site_tiles, usable, params))
         answer = points.multi_point(held, usable, start, end, params, self.temporal, calendar_if_silent=True,
                                     end_of_day=self.end_of_day)

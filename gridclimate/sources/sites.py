@@ -20,17 +20,27 @@ SITE_SCHEMA = T.StructType([
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Cast to the site schema, adding absent optional columns as NULL."""
+    """Cast to the site schema, adding absent optional columns as NULL.
+
+    Ids keep the type they came with, so text ids stay text; rows without the column are numbered.
+    A number that cannot be read becomes NULL and is named in `site_warning`.
+    """
     missing = [c for c in ("lat", "lon") if c not in df.columns]
     if missing:
         raise ValueError(f"site list lacks column(s): {', '.join(missing)}")
-    def column(field: T.StructField):
-        if field.name in df.columns:
-            return F.col(field.name).try_cast(field.dataType).alias(field.name)
-        return F.lit(None).cast(field.dataType).alias(field.name)
     base = df if "site_id" in df.columns else df.withColumn("site_id", F.monotonically_increasing_id())
-    return base.select(*[F.col("site_id").try_cast("bigint").alias("site_id") if f.name == "site_id" else column(f)
-                         for f in SITE_SCHEMA])
+    columns, odd = [F.col("site_id")], []
+    for field in SITE_SCHEMA.fields[1:]:
+        if field.name not in df.columns:
+            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
+            continue
+        read = F.col(field.name).try_cast(field.dataType)
+        columns.append(read.alias(field.name))
+        if isinstance(field.dataType, T.DoubleType):
+            given = F.coalesce(F.trim(F.col(field.name).cast("string")), F.lit("")) != ""
+            odd.append(F.when(given & read.isNull(), F.lit(f"unreadable {field.name}")))
+    warning = F.concat_ws("; ", *odd) if odd else F.lit("")
+    return base.select(*columns, F.nullif(warning, F.lit("")).alias("site_warning"))
 
 
 def read_site_csv(spark: SparkSession, path: str) -> DataFrame:

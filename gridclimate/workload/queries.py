@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridclimate.functions import coordinates as coord
+from gridclimate.functions import sqlfuncs
 from gridclimate.functions.dates import ensure_date_column, parse_dates
 from gridclimate.functions.text import round_half_even
 from gridclimate.functions.grid import cell_centre_lat, cell_centre_lon
@@ -141,11 +142,29 @@ def export_roundtrip_hourly(spark, sf_dir):
 
 
 @query("site_list_csv", """
-select site_id, cast(lat as double) as lat, cast(lon as double) as lon, name, elevation, cast(null as double) as wind_elevation from v_points""")
+select 'site-' || site_id as site_id, cast(lat as double) as lat, cast(lon as double) as lon, name,
+       case when site_id % 7 <> 0 then elevation end as elevation, cast(null as double) as wind_elevation,
+       case when site_id % 7 = 0 then 'unreadable elevation' end as site_warning from v_points""")
 def site_list_csv(spark, sf_dir):
     path = streams.run_folder(spark, "sites") + "/list"
-    write_result(v.view(spark, sf_dir, "v_points"), path, "csv")
-    return read_site_csv(spark, path).select("site_id", F.col("lat").cast("double"), F.col("lon").cast("double"), "name", "elevation", "wind_elevation")
+    sites = v.view(spark, sf_dir, "v_points")
+    # ids are text, and some elevations are no numbers
+    text = sites.withColumns({"site_id": F.concat(F.lit("site-"), F.col("site_id").cast("string")),
+                              "elevation": F.when(F.col("site_id") % 7 == 0, F.lit("high")).otherwise(F.col("elevation").cast("string"))})
+    write_result(text, path, "csv")
+    return read_site_csv(spark, path).select("site_id", F.col("lat").cast("double"), F.col("lon").cast("double"), "name", "elevation", "wind_elevation", "site_warning")
+
+
+@query("sql_functions", """
+select site_id, cell_lat, cell_lon, format('{:.5f}', abs(lat)) || '° ' || case when lat >= 0 then 'N' else 'S' end as lat_text,
+       lat as lat_back, case when elevation is not null then greatest(elevation - 10, 0) end as above
+from v_site_cells where param = 'T2M'""")
+def sql_functions(spark, sf_dir):
+    sqlfuncs.register(spark)
+    return spark.sql("""
+        select site_id, gc_cell_lat(lat, 'T2M') as cell_lat, gc_cell_lon(lon, 'T2M') as cell_lon, gc_format_dd(lat, true) as lat_text,
+               gc_parse_coord(gc_format_dd(lat, true), true) as lat_back, gc_gdd(elevation, 10e0) as above from {sites}""",
+                     sites=v.view(spark, sf_dir, "v_points"))
 
 
 @query("fill_to_null", "select seq, site_id, param, nullif(raw_value, -999) as value from v_obs_raw")
