@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridclimate.llm.common import mapped, shared_folder
-from gridclimate.llm.tokens import KEPT, default_path, token_bytes
+from gridclimate.llm.tokens import KEPT_BYTES, default_path, token_pieces
 
 LENGTH = 2048
 DIMENSIONS, BITS = 4, 12
@@ -44,11 +44,15 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(5).standard_normal((CELLS, DIMENSIONS))[cells]
 
 
-def project(ids: np.ndarray) -> np.ndarray:
-    """Coordinates in 0 .. 2^BITS - 1 of a document's ids."""
-    distinct, counts = np.unique(ids, return_counts=True)
-    weights = 1 + np.log(counts)
-    v = weights @ _projection()[distinct] / np.sqrt(weights @ weights)
+def project(ids: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Coordinates in 0 .. 2^BITS - 1 of documents whose ids lie end to end."""
+    sizes = np.diff(edges)
+    pairs = (np.repeat(np.arange(len(sizes), dtype=np.int64), sizes) << 16) | ids
+    pairs.sort()
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    weights = 1 + np.log(np.diff(first, append=len(pairs)))
+    begins = np.searchsorted(pairs[first], np.arange(len(sizes), dtype=np.int64) << 16)
+    v = np.add.reduceat(weights[:, None] * _projection()[pairs[first] & 0xFFFF], begins, axis=0) / np.sqrt(np.add.reduceat(weights * weights, begins))[:, None]
     return np.minimum((1 << BITS) / (1 + np.exp(-1.702 * v)), (1 << BITS) - 1).astype(np.int64)
 
 
@@ -80,21 +84,16 @@ def hilbert_keys(points: np.ndarray, bits: int = BITS) -> np.ndarray:
     return key
 
 
-def tokenised(docs: DataFrame, tokenizer: str, kept: int = KEPT) -> DataFrame:
+def tokenised(docs: DataFrame, tokenizer: str, kept: int = KEPT_BYTES) -> DataFrame:
     """doc_id, token ids (16 bits each) and curve key of every document, stored."""
     def run(batches):
         for batch in batches:
-            ids, points, size, begin = [], [], 0, 0
-            for i, text in enumerate(batch.column(1)):
-                own = token_bytes(text.as_py() or "", tokenizer, kept)
-                ids.append(own)
-                points.append(project(np.frombuffer(own, dtype=np.uint16)))
-                size += len(own)
-                if size >= BATCH_BYTES or i + 1 == batch.num_rows:
-                    yield pa.RecordBatch.from_arrays([
-                        batch.column(0).slice(begin, len(ids)), pa.array(hilbert_keys(np.array(points))), pa.array(ids, pa.binary())],
-                        ["doc_id", "key", "ids"])
-                    ids, points, size, begin = [], [], 0, i + 1
+            for row, ids, edges in token_pieces(batch.column(1), tokenizer, kept):
+                # a text has its end id at least, so none is empty
+                keys, data, spans = hilbert_keys(project(ids, edges)), ids.tobytes(), (2 * edges).tolist()
+                yield pa.RecordBatch.from_arrays([
+                    batch.column(0).slice(row, len(keys)), pa.array(keys), pa.array([data[a:b] for a, b in zip(spans, spans[1:])], pa.binary())],
+                    ["doc_id", "key", "ids"])
 
     path = shared_folder(docs.sparkSession, "tokens")
     out = mapped(docs.select("doc_id", "text"), run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, key long, ids binary")
@@ -107,10 +106,10 @@ def power_cuts(length: int) -> list[int]:
     return [1 << b for b in range(length.bit_length() - 1, -1, -1) if length >> b & 1]
 
 
-def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, kept: int = KEPT) -> DataFrame:
+def pack(docs: DataFrame, length: int = LENGTH, tokenizer: str | None = None, kept: int = KEPT_BYTES) -> DataFrame:
     """Pieces of documents in sequences, with their ids: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
-    `kept` bounds the words whose ids a worker remembers: more cost memory, fewer cost time.
+    `kept` bounds the bytes of words whose ids a worker remembers: more cost memory, fewer cost time.
     """
     rows = tokenised(docs, tokenizer or default_path(), kept)
     spread = F.xxhash64(F.col("doc_id").cast("string"), F.octet_length("ids"))

@@ -1,27 +1,38 @@
-"""Token ids by a public tokenizer file, cached by word.
+"""Token ids by a public tokenizer file, looked up once per distinct chunk of a piece of texts.
 
 `word_bpe_49k.json` splits at white space and never merges across it, so the ids of a
-text are those of its blank-separated chunks in order. A worker keeps the ids of the
-chunks it has met, up to a fixed number, and has the tokenizer read only new ones.
+text are those of its blank-separated chunks in order. The texts of a piece are cut into
+chunks by Arrow, which also numbers the distinct ones; only these are looked up, and the ids
+are gathered with numpy. A worker keeps the ids of short chunks it has met, per tokenizer file and
+up to a fixed number of bytes, and has the tokenizer read only new ones. A file that
+does not split at white space, told by probes, has whole texts encoded.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from gridclimate.llm.common import pieces, string_buffers
 
 #: Id that closes every document.
 END_ID = 1
-#: Chunks whose ids a worker keeps; when they are full, the third met first stays, which holds the frequent ones.
-KEPT = 1_000_000
+#: Bytes of chunks and their ids that a worker keeps; when they are full, the third met first stays, which holds the frequent ones.
+KEPT_BYTES = 128 << 20
+#: Characters of a chunk that is kept at most, and what a kept chunk costs besides its characters and ids.
+SHORT, ENTRY_BYTES = 64, 150
 #: New chunks handed to the tokenizer together.
 TOGETHER = 512
 #: Stands between new chunks; a control character that no sane text holds.
 MARK = "\x01"
-_known: dict[str, bytes] = {}
+#: Texts that a file which splits at white space encodes as it does their chunks.
+PROBES = ["a b", "Hello, world!  it's 42", "x\ny  z\n\n1 2 3", " lead and trail ", "don't stop (now) 3.14 - a_b", "ß é 日本 語\nend", "the The THE\n the"]
 
 
 def default_path() -> str:
@@ -30,43 +41,116 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _ids(found) -> np.ndarray:
+    return np.array(found.ids, dtype=np.uint16)
+
+
+def chunks_of(text: str) -> list[str]:
+    return text.replace("\n", " ").split(" ")
+
+
+class Vocabulary:
+    """Ids of texts by one tokenizer file, with the chunks met so far."""
+
+    def __init__(self, path: str, kept: int = KEPT_BYTES):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker on every core
+        from tokenizers import Tokenizer
+
+        self.own, self.kept = Tokenizer.from_file(path), kept
+        if self.own.get_vocab_size(with_added_tokens=True) > 1 << 16:
+            raise ValueError(f"{path} has more ids than 16 bits hold")
+        self.mark = self._encode([MARK])[0]
+        self.by_chunk = all(
+            np.array_equal(whole, np.concatenate(self._encode(chunks_of(text)))) for text, whole in zip(PROBES, self._encode(PROBES)))
+        self.known: dict[str, int] = {}
+        self.starts, self.lengths = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.arena, self.used, self.bytes = np.zeros(1 << 16, np.uint16), 0, 0
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [_ids(x) for x in self.own.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _read(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of chunks end to end, and how many each has. Many are encoded together, with marks between them."""
+        groups = [chunks[i:i + TOGETHER] for i in range(0, len(chunks), TOGETHER)]
+        parts, sizes = [], []
+        for group, ids in zip(groups, self._encode([f" {MARK} ".join(g) for g in groups])):
+            cuts = np.flatnonzero(ids == self.mark[0]) if len(self.mark) == 1 else ()
+            if len(cuts) == len(group) - 1:
+                parts.append(np.delete(ids, cuts))
+                sizes.append(np.diff(cuts, prepend=-1, append=len(ids)) - 1)
+            else:  # a chunk holds the mark
+                single = self._encode(group)
+                parts += single
+                sizes.append([len(x) for x in single])
+        return (np.concatenate(parts), np.concatenate(sizes)) if parts else (np.zeros(0, np.uint16), np.zeros(0, np.int64))
+
+    def _keep(self, chunks: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Remember chunks, none of them known."""
+        n, end = len(self.known), self.used + len(ids)
+        if n + len(chunks) > len(self.starts):
+            self.starts, self.lengths = (np.resize(x, 2 * (n + len(chunks))) for x in (self.starts, self.lengths))
+        if end > len(self.arena):
+            self.arena = np.resize(self.arena, 2 * end)
+        self.arena[self.used:end] = ids
+        self.starts[n:n + len(chunks)], self.lengths[n:n + len(chunks)] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.known.update(zip(chunks, range(n, n + len(chunks))))
+        self.used, self.bytes = end, self.bytes + sum(map(len, chunks)) + ENTRY_BYTES * len(chunks) + 2 * len(ids)
+
+    def _forget(self) -> None:
+        stay = len(self.known) // 3
+        self.known = dict(islice(self.known.items(), stay))
+        self.used = int(self.starts[stay - 1] + self.lengths[stay - 1]) if stay else 0
+        self.bytes = sum(ENTRY_BYTES + len(c) for c in self.known) + 2 * self.used
+
+    def _gather(self, distinct: list[str], codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the distinct chunks in the order of the codes, and how many each code has. The last code is the end id."""
+        if self.bytes > self.kept:
+            self._forget()
+        at = np.fromiter(map(self.known.get, distinct, repeat(-1)), dtype=np.int64, count=len(distinct))
+        new = np.flatnonzero(at < 0).tolist()
+        short, long = [i for i in new if len(distinct[i]) <= SHORT], [i for i in new if len(distinct[i]) > SHORT]
+        at[short] = np.arange(len(self.known), len(self.known) + len(short))
+        chunks = [distinct[i] for i in short]
+        self._keep(chunks, *self._read(chunks))
+        # long chunks and the end id lie behind the arena, for this piece alone
+        held = [*self._encode([distinct[i] for i in long]), np.array([END_ID], np.uint16)]
+        sizes = np.array([len(x) for x in held])
+        starts, lengths = np.append(self.starts[at], 0), np.append(self.lengths[at], 0)
+        starts[[*long, -1]], lengths[[*long, -1]] = self.used + np.cumsum(sizes) - sizes, sizes
+        source = np.concatenate([self.arena[:self.used], *held])
+        counts = lengths[codes]
+        ends = np.cumsum(counts)
+        return source[np.repeat(starts[codes] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)], counts
+
+    def ids_of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts (no nulls), each closed by the end id, end to end, and the offsets of the texts."""
+        if not self.by_chunk:
+            parts = [np.append(x, np.uint16(END_ID)) for x in self._encode(texts.to_pylist())]
+            return np.concatenate(parts), np.cumsum([0, *map(len, parts)])
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        if isinstance(lists, pa.ChunkedArray):
+            lists = lists.combine_chunks()
+        coded = pc.dictionary_encode(lists.flatten())
+        edges = lists.offsets.to_numpy().astype(np.int64)
+        edges -= edges[0]
+        distinct = coded.dictionary.to_pylist()
+        codes = np.insert(coded.indices.to_numpy().astype(np.int64), edges[1:], len(distinct))
+        ids, counts = self._gather(distinct, codes)
+        ends = np.cumsum(counts)[edges[1:] + np.arange(len(texts))]
+        return ids, np.concatenate([[0], ends])
+
+
 @lru_cache(maxsize=2)
-def _tokenizer(path: str):
-    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a worker on every core
-    from tokenizers import Tokenizer
-
-    own = Tokenizer.from_file(path)
-    return own, tuple(own.encode(MARK, add_special_tokens=False).ids)
-
-
-def _learn(path: str, chunks: list[str]) -> None:
-    own, mark = _tokenizer(path)
-    odd = [c for c in chunks if MARK in c or len(c) > 200]
-    plain = [c for c in chunks if MARK not in c and len(c) <= 200] if odd else chunks
-    for c, found in zip(odd, own.encode_batch_fast(odd, add_special_tokens=False)):
-        _known[c] = np.array(found.ids, dtype=np.uint16).tobytes()
-    groups = [plain[i:i + TOGETHER] for i in range(0, len(plain), TOGETHER)]
-    for group, found in zip(groups, own.encode_batch_fast([f" {MARK} ".join(g) for g in groups], add_special_tokens=False)):
-        ids = np.array(found.ids, dtype=np.uint16)
-        cuts = np.flatnonzero(ids == mark[0]) if len(mark) == 1 else None
-        if cuts is None or len(cuts) != len(group) - 1:
-            for c, single in zip(group, own.encode_batch_fast(group, add_special_tokens=False)):
-                _known[c] = np.array(single.ids, dtype=np.uint16).tobytes()
-            continue
-        edges = [0, *(cuts + 1).tolist(), len(ids) + 1]
-        for c, a, b in zip(group, edges, edges[1:]):
-            _known[c] = ids[a:b - 1].tobytes()
-
-
-def token_bytes(text: str, path: str, kept: int = KEPT) -> bytes:
-    """Ids of a text as unsigned 16-bit numbers, with the end id. `kept` bounds the cache."""
-    chunks = text.replace("\n", " ").split(" ")
-    new = set(chunks).difference(_known)
-    if new:
-        if len(_known) + len(new) > kept:
-            first = dict(islice(_known.items(), kept // 3))
-            _known.clear()
-            _known.update(first)
-            new = set(chunks).difference(_known)
-        _learn(path, list(new))
-    return b"".join(map(_known.__getitem__, chunks)) + END_ID.to_bytes(2, "little")
+def vocabulary(path: str, kept: int) -> Vocabulary:
+    """The worker's vocabulary of a tokenizer file."""
+    return Vocabulary(path, kept)
+
+
+def token_pieces(column: pa.Array, path: str, kept: int = KEPT_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Row where a piece of the texts begins, the ids of its texts as 16-bit numbers, end to end, and their offsets. A null is an empty text."""
+    own = vocabulary(path, kept)
+    texts = column.cast(pa.large_string()).fill_null("")
+    offsets, _ = string_buffers(column)
+    for a, b in pieces(offsets):
+        ids, edges = own.ids_of(texts.slice(a, b - a))
+        yield a, ids, edges

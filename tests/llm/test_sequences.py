@@ -1,23 +1,64 @@
 """Packing and token shards against the tokenizer itself."""
 
+import glob
 import zlib
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from conftest import prose
 from tokenizers import Tokenizer
 
 from gridclimate.llm.packing import hilbert_keys, pack, packed_index, power_cuts
-from gridclimate.llm.token_shards import feistel, read_shards, slotted, stride, token_shards, write_shards
-from gridclimate.llm.tokens import END_ID, default_path, token_bytes
+from gridclimate.llm.token_shards import feistel, read_shards, stride, token_shards, write_shards
+from gridclimate.llm.tokens import END_ID, Vocabulary, default_path, token_pieces, vocabulary
 
 
-def ids_of(text):
-    own = Tokenizer.from_file(default_path())
+def ids_of(text, path=None):
+    own = Tokenizer.from_file(path or default_path())
     return own.encode(text or "", add_special_tokens=False).ids + [END_ID]
 
 
-def test_cached_ids_are_the_tokenizers():
-    for text in ["", "Hello, world!  it's 42", "a\x01b c \x01", "<|endoftext|>x y", "İ Σς ß ﬁ é ́", "a\tb\r\nc\x0bd\x85e\xa0f", "日本語 text", "x" * 900]:
-        assert np.frombuffer(token_bytes(text, default_path()), dtype=np.uint16).tolist() == ids_of(text)
+TEXTS = ["", "Hello, world!  it's 42", "a\x01b c \x01", "<|endoftext|>x y", "İ Σς ß ﬁ é ́", "a\tb\r\nc\x0bd\x85e\xa0f", "日本語 text", "x" * 900, None,
+         "long " + "ab" * 700_000 + " word", " ", "\n\n", *[prose(i, 200) for i in range(40)], prose(77, 250_000)]
+
+
+def listed(column, path, kept=1 << 20):
+    out = []
+    for row, ids, edges in token_pieces(column, path, kept):
+        assert row == len(out) and ids.dtype == np.uint16
+        out += [ids[a:b].tolist() for a, b in zip(edges, edges[1:])]
+    return out
+
+
+def test_looked_up_ids_are_the_tokenizers():
+    want = [ids_of(t) for t in TEXTS]
+    for kept in (1 << 12, 1 << 26):  # all but nothing kept, and everything
+        for _ in range(2):
+            assert listed(pa.array(TEXTS), default_path(), kept) == want
+    sliced = pa.array(["skip", *TEXTS, "skip"]).slice(1, len(TEXTS))
+    assert listed(sliced, default_path()) == want
+    assert listed(pa.array([], pa.string()), default_path()) == []
+
+
+def test_two_tokenizer_files_in_one_worker():
+    byte = public_tokenizers.path("byte_bpe_50k.json")
+    texts = [t for t in TEXTS if t is None or len(t) < 10_000]
+    for path in (default_path(), byte, default_path()):
+        assert listed(pa.array(texts), path) == [ids_of(t, path) for t in texts]
+    assert vocabulary(default_path(), 5).by_chunk and not vocabulary(byte, 5).by_chunk  # leading blanks belong to its words
+
+
+def test_more_ids_than_16_bits_hold(monkeypatch):
+    class Large:
+        @staticmethod
+        def from_file(path):
+            return type("T", (), {"get_vocab_size": lambda self, with_added_tokens: 70_000})()
+
+    monkeypatch.setattr("tokenizers.Tokenizer", Large)
+    with pytest.raises(ValueError, match="16 bits"):
+        Vocabulary("any.json")
 
 
 def test_pieces_hold_every_id_once(odd_docs, no_docs):
@@ -64,19 +105,69 @@ def test_feistel_is_a_permutation():
     assert len(feistel(np.arange(0), 0, 1)) == 0
 
 
-def test_shards_resume_by_arithmetic(spark, odd_docs, no_docs, shared):
-    index = write_shards(odd_docs, f"{shared}/shards", key=7, length=128, per_shard=16).collect()
-    back = {r["slot"]: r for r in read_shards(spark, f"{shared}/shards", 128).collect()}
-    assert sorted(back) == sorted(r["slot"] for r in index) == list(range(len(index)))
-    tokens = sum(len(ids_of(r["text"])) for r in odd_docs.collect())
-    assert sum(r["n"] for r in back.values()) == tokens and len(index) > 32
-    import glob
-    for slot in (0, 15, 16, len(index) - 1):  # one seek finds any slot
-        file, = glob.glob(f"{shared}/shards/shard={slot // 16}/part-*")
-        with open(file, "rb") as f:
-            f.seek(slot % 16 * stride(128))
-            record = f.read(stride(128))
-        assert int.from_bytes(record[:8], "little") == slot
+def read_record(path, slot, per_shard, length):
+    file, = glob.glob(f"{path}/part-{slot // per_shard:05d}-*")
+    with open(file, "rb") as f:
+        f.seek(slot % per_shard * stride(length))
+        return f.read(stride(length))
+
+
+@pytest.mark.parametrize("spill", [None, "20"])
+def test_shards_resume_by_arithmetic(spark, odd_docs, no_docs, shared, spill):
+    """Every slot lies where arithmetic finds it, also when the sort spills, and holds the tokenizer's ids."""
+    setting = "spark.shuffle.spill.numElementsForceSpillThreshold"
+    if spill:
+        spark.conf.set("spark.sql.windowExec.buffer.spill.threshold", spill)
+        spark.conf.set("spark.sql.sortMergeJoinExec.buffer.spill.threshold", spill)
+    path = f"{shared}/shards"
+    docs = odd_docs
+    if spill:  # the setting is read when a sorter is made
+        before = spark.sparkContext._jsc.sc().conf().get(setting, None)
+        spark.sparkContext._jsc.sc().conf().set(setting, spill)
+        docs = odd_docs.unionByName(spark.createDataFrame([(1000 + i, prose(i, 400)) for i in range(60)], "doc_id long, text string"), allowMissingColumns=True)
+    try:
+        index = write_shards(docs, path, key=7, length=128, per_shard=64 if spill else 16).collect()
+    finally:
+        if spill:
+            spark.conf.unset("spark.sql.windowExec.buffer.spill.threshold")
+            spark.conf.unset("spark.sql.sortMergeJoinExec.buffer.spill.threshold")
+            conf = spark.sparkContext._jsc.sc().conf()
+            conf.remove(setting) if before is None else conf.set(setting, before)
+    per_shard = 64 if spill else 16
+    back = {r["slot"]: r for r in read_shards(spark, path, 128, per_shard).collect()}
+    assert sorted(back) == sorted(r["slot"] for r in index) == list(range(len(index))) and len(index) > 2 * per_shard
+    assert all((r["shard"], r["record"]) == divmod(s, per_shard) for s, r in back.items())
+    got = {}
+    for r in index:
+        record = read_record(path, r["slot"], per_shard, 128)  # one seek
+        assert int.from_bytes(record[:8], "little") == r["slot"] and int.from_bytes(record[8:12], "little") == r["n"] == back[r["slot"]]["n"]
+        ids = np.frombuffer(record, dtype="<u2", count=r["n"], offset=12)
+        assert zlib.crc32(ids.astype("<u4").tobytes()) == back[r["slot"]]["ids_crc32"]
+        assert r["begins"] == sorted(r["begins"]) and r["begins"][0] == 0 and len(r["begins"]) == len(r["doc_ids"])
+        for i, a, b in zip(r["doc_ids"], r["begins"], [*r["begins"][1:], r["n"]]):
+            got.setdefault(i, []).append(ids[a:b].tolist())
+    want = {}
+    for r in docs.select("doc_id", "text").collect():
+        want.setdefault(r["doc_id"], []).extend(ids_of(r["text"]))
+    assert {i: sorted(x for part in parts for x in part) for i, parts in got.items()} == {i: sorted(x) for i, x in want.items()}
+    short = [i for i, x in want.items() if i is not None and i not in (2, 13) and len(got[i]) == 1]
+    assert short and all(got[i][0] == want[i] for i in short)  # in order, where a document is one piece
+
+
+def test_a_record_out_of_place_is_noticed(spark, shared):
+    length = 4
+    def record(slot):
+        return slot.to_bytes(8, "little") + (2).to_bytes(4, "little") + bytes(2 * length) + b"\n"
+
+    import os
+    os.makedirs(f"{shared}/bad")
+    with open(f"{shared}/bad/part-00000-x.txt", "wb") as f:
+        f.write(record(1) + record(0))
+    with pytest.raises(Exception, match="order of their slots"):
+        read_shards(spark, f"{shared}/bad", length, 16).collect()
+
+
+def test_shards_of_documents_and_of_nothing(odd_docs, no_docs):
     rows = token_shards(odd_docs, length=128).collect()
     assert {x for r in rows for x in r["doc_ids"]} == {r["doc_id"] for r in odd_docs.collect()}
     assert token_shards(no_docs).collect() == []
