@@ -25,8 +25,8 @@ from gridclimate.llm.toxicity import toxicity_model
 #: Words of a shingle of the near-dedup stage.
 SHINGLE = 5
 VERDICT = "__verdict"
-#: Words whose token ids a worker remembers: few, since its executor holds memory of the stages before.
-KEPT_WORDS = 100_000
+#: Bytes of words whose token ids a worker remembers: few, since its executor holds memory of the stages before.
+KEPT_BYTES = 24 << 20
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents, with token ids, in sequences of up to 2048 tokens."""
-    return pack(docs, kept=KEPT_WORDS)
+    return pack(docs, kept=KEPT_BYTES)
 
 
 STAGES = [
