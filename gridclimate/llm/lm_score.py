@@ -82,7 +82,12 @@ def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(every[every != 0], return_counts=True)
 
 
-def _ask(bits: int, order: int):
+def _count_type(words_in_all: int) -> str:
+    """The smallest number that holds any count of a corpus of so many words."""
+    return "<u4" if words_in_all < 1 << 32 else "<u8"
+
+
+def _ask(bits: int, order: int, kind: str):
     width = (64 - bits + 7) // 8
 
     def run(batches):
@@ -92,7 +97,7 @@ def _ask(bits: int, order: int):
             buckets = (grams >> U64(64 - bits)).astype(np.int32)
             edges = np.flatnonzero(np.diff(buckets, prepend=-1))
             raw = grams.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].copy()
-            counts = counts.astype("<u4")
+            counts = counts.astype(kind)
             rows = [(int(buckets[a]), number, raw[a:b].tobytes(), counts[a:b].tobytes()) for a, b in zip(edges, [*edges[1:], len(grams)])]
             for at in range(0, len(rows), 4096):
                 columns = list(zip(*rows[at:at + 4096]))
@@ -102,7 +107,7 @@ def _ask(bits: int, order: int):
     return run
 
 
-def _count(bits: int):
+def _count(bits: int, kind: str):
     width = (64 - bits + 7) // 8
 
     def run(bucket: pa.Table) -> pa.Table:
@@ -112,10 +117,10 @@ def _count(bits: int):
             wide = np.zeros((len(raw), 8), dtype=np.uint8)
             wide[:, :width] = raw
             grams.append(wide.view("<u8").ravel())
-            counts.append(np.frombuffer(own.as_buffer(), dtype="<u4"))
+            counts.append(np.frombuffer(own.as_buffer(), dtype=kind))
             sizes.append(len(raw))
         _, where = np.unique(np.concatenate(grams), return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate(counts))[where].astype("<u4")
+        total = np.bincount(where, weights=np.concatenate(counts))[where].astype(kind)  # doubles are exact for any count there is
         edges = np.cumsum([0, *sizes])
         replies = [total[a:b].tobytes() for a, b in zip(edges, edges[1:])]
         return pa.table({"block": bucket.column("block"), "bucket": bucket.column("bucket"), "counts": pa.array(replies, pa.binary())})
@@ -123,13 +128,13 @@ def _count(bits: int):
     return run
 
 
-def _score(order: int, words_in_all: int, backoff: float, cutoff: int, kind: pa.DataType):
+def _score(order: int, words_in_all: int, backoff: float, cutoff: int, count_type: str, kind: pa.DataType):
     def run(block: pa.Table, replies: pa.Table) -> pa.Table:
         docs = pa.table({"doc_id": block.column("doc_ids").combine_chunks().flatten(), "text": block.column("texts").combine_chunks().flatten()})
         grams, counts = block_grams(docs.column("text"), order)
         distinct, _ = _distinct(grams)
         parts = sorted(zip(replies.column("bucket").to_pylist(), replies.column("counts")), key=lambda x: x[0])
-        known = np.concatenate([np.frombuffer(x.as_buffer(), dtype="<u4") for _, x in parts]) if parts else np.zeros(0, dtype="<u4")
+        known = np.concatenate([np.frombuffer(x.as_buffer(), dtype=count_type) for _, x in parts]) if parts else np.zeros(0, dtype=count_type)
 
         def counted(own: np.ndarray) -> np.ndarray:
             out = np.zeros(len(own))
@@ -159,15 +164,6 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(8, (size // BUCKET_BYTES).bit_length())
-    asked = mapped(docs, _ask(bits, order), "bucket int, block long, grams binary, counts binary")
-    replies = asked.groupBy("bucket").applyInArrow(_count(bits), "block long, bucket int, counts binary")
-
-    def whole(batches):
-        for number, block in _blocks(batches):
-            ids, texts = block.column(0).combine_chunks(), block.column(1).combine_chunks().fill_null("")
-            edges = pa.array([0, len(block)], pa.int32())
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.ListArray.from_arrays(edges, ids), pa.ListArray.from_arrays(edges, texts)],
-                                             ["block", "doc_ids", "texts"])
 
     def sizes(batches):
         for batch in batches:
@@ -178,6 +174,17 @@ def backoff_scores(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF
             yield pa.RecordBatch.from_arrays([pa.array([total], pa.int64())], ["n"])
 
     words_in_all = mapped(docs.select("text"), sizes, "n long").agg(F.sum("n")).first()[0] or 0
+    kind = _count_type(words_in_all)
+    asked = mapped(docs, _ask(bits, order, kind), "bucket int, block long, grams binary, counts binary")
+    replies = asked.groupBy("bucket").applyInArrow(_count(bits, kind), "block long, bucket int, counts binary")
+
+    def whole(batches):
+        for number, block in _blocks(batches):
+            ids, texts = block.column(0).combine_chunks(), block.column(1).combine_chunks().fill_null("")
+            edges = pa.array([0, len(block)], pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.ListArray.from_arrays(edges, ids), pa.ListArray.from_arrays(edges, texts)],
+                                             ["block", "doc_ids", "texts"])
+
     blocks = mapped(docs, whole, "block long, doc_ids array<long>, texts array<string>")
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _score(order, words_in_all, backoff, cutoff, pa.int64()), "doc_id long, n_words long, log_score double")
+        _score(order, words_in_all, backoff, cutoff, kind, pa.int64()), "doc_id long, n_words long, log_score double")

@@ -7,6 +7,7 @@ from test_decontaminate import brute as contaminated
 from test_near_dedup import brute as components
 
 import corpus_pipeline
+from gridclimate.llm import lm_score
 from gridclimate.llm.lm_score import backoff_scores
 from gridclimate.llm.workload import QUERIES
 
@@ -44,6 +45,13 @@ def test_registered_order_3_counts_every_gram(spark, tmp_path):
         assert got[i][0] == n and (got[i][1] is None if score is None else abs(got[i][1] - score) < 2e-6)
 
 
+def test_wide_counts_give_the_same_scores(odd_docs, monkeypatch):
+    assert lm_score._count_type(2**32 - 1) == "<u4" and lm_score._count_type(2**32) == "<u8"
+    narrow = sorted(map(repr, backoff_scores(odd_docs, order=3, cutoff=1).collect()))
+    monkeypatch.setattr(lm_score, "_count_type", lambda words: "<u8")
+    assert sorted(map(repr, backoff_scores(odd_docs, order=3, cutoff=1).collect())) == narrow
+
+
 def test_empty(no_docs):
     assert backoff_scores(no_docs).collect() == []
 
@@ -78,3 +86,28 @@ def test_stages_against_brute_force(spark, tmp_path):
     pieces = corpus_pipeline.run(spark, sf).collect()
     assert sum(r["length"] for r in pieces if r["start"] == 0) and {r["doc_id"] for r in pieces} == {i for i, _ in kept["decontamination"]}
     assert corpus_pipeline.STAGES[3][1](spark, docs.where("false"), sf).collect() == []
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Near copies under one id and without an id, repeated rows, null and empty texts."""
+    a, b, c = prose(1, 80), prose(2, 80), prose(3, 80)
+    near = a.replace(a.split()[0], "other", 1)
+    rows = [(1, a), (1, near), (None, a), (None, a), (None, near), (5, b), (4, b), (4, b), (None, c), (None, c), (-3, prose(9, 30)), (2, prose(9, 30)), (7, None), (7, None), (8, None), (9, ""), (None, None)]
+    docs = spark.createDataFrame([(*r, "en", "s", 1, "clash", "clash") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, node string, hash string")
+    got = corpus_pipeline.STAGES[2][1](spark, docs, "")
+    assert got.columns == docs.columns
+    kept = sorted(((r["doc_id"], r["text"]) for r in got.collect()), key=repr)
+    first = [x for x in kept if x[1] in (a, near)]
+    assert len(first) == 1 and first[0][0] == 1  # one row for the whole group
+    assert sorted([x for x in kept if x[1] not in (a, near)], key=repr) == sorted([(4, b), (None, c), (-3, prose(9, 30)), (7, None), (8, None), (9, ""), (None, None)], key=repr)
+
+
+def test_stages_on_nothing_and_on_null_texts(spark, tmp_path):
+    sf = str(tmp_path)
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").write.parquet(f"{sf}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, None, "clash"), (2, "", "clash"), (None, None, "x")], "doc_id long, text string, score string")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), sf).collect() == [], name
+        rows = stage(spark, docs, sf).collect()
+        assert len(rows) == 3, name  # nothing to learn from, nothing to reject
