@@ -140,11 +140,13 @@ def fit(train: DataFrame, cells_of: CellsOf, cells: int, fit_rows: int = FIT_ROW
     ratios = frequent_ratios(counts)
     found = {r["label"]: r["count"] for r in train.groupBy("label").count().collect()}
     totals = float(found.get(0, 0)), float(found.get(1, 0))
-    order = ["turn", "doc_id"]
-    drawn = [train.where(F.col("label") == label).withColumn("turn", F.xxhash64("doc_id")) for label in (0, 1)]
-    names = [x.select("turn", "doc_id").orderBy(*order).limit(fit_rows) for x in drawn]
-    chosen = stored(names[0].union(names[1]).distinct(), "fit")
-    sample = train.join(F.broadcast(chosen), "doc_id", "left_semi").select("text", F.col("label").cast("int").alias("label"))
+    # a text counts once under an id, however often the row is repeated, so the one task gets 2 * fit_rows rows at most
+    keyed = train.withColumn("hash", F.xxhash64("text")).withColumn("turn", F.xxhash64("doc_id", "hash"))
+    keys = keyed.select("label", "turn", "doc_id", "hash").distinct()
+    names = [keys.where(F.col("label") == label).orderBy("turn", "doc_id", "hash").limit(fit_rows) for label in (0, 1)]
+    chosen = stored(names[0].union(names[1]).select("doc_id", "hash"), "fit")
+    drawn = keyed.join(F.broadcast(chosen), ["doc_id", "hash"], "left_semi").dropDuplicates(["doc_id", "hash"])
+    sample = drawn.select("text", F.col("label").cast("int").alias("label"))
     one = mapped(sample.repartition(1).sortWithinPartitions(F.xxhash64("text"), "label"), learn, "weights binary, slope double, offset double").first()
     if one is None:
         return ratios, np.zeros(cells, dtype=np.float32), 1.0, 0.0
