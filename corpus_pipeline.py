@@ -2,9 +2,10 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows that its predecessor kept,
 and is written as Parquet before the next one reads it. All but the last return the
-columns of documents. Repeated rows are one document for near-dedup; rows with one id
-and different texts are judged apart; rows with null ids or texts pass unless a stage
-rejects their text.
+columns of documents. For near-dedup a document is its id and text: repeated rows are one,
+rows with one id (or none) and different texts are several, of which a group keeps the one with the
+smallest id (a null id last), then the smallest text hash. Null and empty texts pass all stages unless
+a classifier rejects them. An empty table stays one; without labels of both kinds a classifier rejects nothing.
 """
 
 from __future__ import annotations
@@ -44,16 +45,24 @@ def of_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group: the one with the smallest id, once."""
-    judged = near_duplicates(docs, SHINGLE)
-    gone = stored(judged.where(~F.col("kept")).select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "gone")
-    left = docs.join(small_side(gone, SMALL_ROWS), (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__hash")), "left_anti")
-    again = stored(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("__id")), "again")
+    """One document of each near-duplicate group, once."""
+    # equal rows share a key, all others have one of their own
+    keyed = docs.withColumn("__key", F.xxhash64("doc_id", "text"))
+    judged = near_duplicates(keyed.select(F.col("__key").alias("doc_id"), "text"), SHINGLE)
+    members = stored(judged.select(F.col("doc_id").alias("__key"), F.col("component_id").alias("__group")).distinct(), "members")
+    several = members.groupBy("__group").agg(F.count("*").alias("__n")).where("__n > 1").select("__group")
+    grouped = stored(members.join(several, "__group"), "grouped")
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.xxhash64("text"))
+    named = keyed.select("__key", order.alias("__order")).join(grouped, "__key")
+    stays = named.groupBy("__group").agg(F.min_by("__key", "__order").alias("__key"))
+    gone = stored(grouped.select("__key").join(stays.select("__key"), "__key", "left_anti").select(F.col("__key").alias("__gone")), "gone")
+    left = keyed.join(small_side(gone, SMALL_ROWS), F.col("__key") == F.col("__gone"), "left_anti")
+    again = stored(keyed.groupBy("__key").count().where("count > 1").select(F.col("__key").alias("__again")), "again")
     if not again.head(1):
-        return left
+        return left.drop("__key")
     again = small_side(again, SMALL_ROWS)
-    repeated = left.join(again, F.col("doc_id") == F.col("__id"), "left_semi")
-    return left.join(again, F.col("doc_id") == F.col("__id"), "left_anti").unionByName(repeated.dropDuplicates(["doc_id", "text"]))
+    repeated = left.join(again, F.col("__key") == F.col("__again"), "left_semi").dropDuplicates(["__key"])
+    return left.join(again, F.col("__key") == F.col("__again"), "left_anti").unionByName(repeated).drop("__key")
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
