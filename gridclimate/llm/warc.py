@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridclimate.llm.common import mapped, shared_folder, stored
+from gridclimate.llm.common import mapped, shared_folder, small_side, stored
 
 REVISIT_BYTES = 100
 #: Captures of one file at most.
@@ -41,6 +41,8 @@ DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 BATCH_BYTES = 8 << 20
 CHUNK = 1 << 20
+#: Repeated payloads, or captures that others refer to, that every task is sent at most.
+SMALL_ROWS = 200_000
 
 
 def _urn(*parts) -> str:
@@ -78,10 +80,15 @@ def write_archives(pages: DataFrame, path: str) -> None:
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"),
                         F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
-    firsts = rows.where((F.length("payload") >= REVISIT_BYTES)).groupBy("digest").agg(
+    firsts = stored(rows.where((F.length("payload") >= REVISIT_BYTES)).groupBy("digest").agg(
         F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "row"))).alias("first"), F.count("*").alias("n")) \
-        .where("n > 1 and first is not null").select("digest", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row"))
-    named = rows.join(firsts, "digest", "left")
+        .where("n > 1 and first is not null").select("digest", F.col("first.page_id").alias("first_id"), F.col("first.row").alias("first_row")), "firsts")
+    # Payloads are not dealt by digest, which one page may share with a third of all: the firsts go to them, or, if they are
+    # many, their pages are found without payloads and then told by row number.
+    if firsts.count() <= SMALL_ROWS:
+        named = rows.join(F.broadcast(firsts), "digest", "left")
+    else:
+        named = rows.join(rows.select("row", "digest").join(firsts, "digest").select("row", "first_id", "first_row"), "row", "left")
 
     def run(batches):
         for batch in batches:
@@ -204,13 +211,26 @@ def captures(records: DataFrame) -> DataFrame:
                       F.coalesce("requests", none).alias("requests"), F.coalesce("metadata", none).alias("metadata"))
 
 
+def with_referred(found: DataFrame) -> DataFrame:
+    """Captures with `refers_to_page`, the page of the capture that a revisit refers to (null if there is none)."""
+    page = F.get_json_object(F.get("metadata", F.lit(0))["fields"], "$.page_id").cast("long")
+    rows = found.withColumn("page_id", page)
+    asked = rows.where("response.refers_to is not null").select(F.col("response.refers_to").alias("record_id")).distinct()
+    firsts = stored(rows.where("response.type = 'response'").join(asked, "record_id").select(
+        F.col("record_id").alias("__refers"), F.col("page_id").alias("refers_to_page")), "referred")
+    # one capture may be what a third of all refer to, so small tables go to the revisits
+    return rows.join(small_side(firsts, SMALL_ROWS), F.col("response.refers_to") == F.col("__refers"), "left").drop("__refers")
+
+
 def page_captures(pages: DataFrame) -> DataFrame:
-    """Write the pages as archives, read them back, and give page_id, payload size and digest, record type and what a revisit refers to."""
+    """Write the pages as archives, read them back, and give page_id, payload size and digest, record type, what a revisit refers to, and
+    the number of requests of the capture and whether the first asks for the capture's target."""
     spark, path = pages.sparkSession, shared_folder(pages.sparkSession, "warc")
     write_archives(pages, path)
-    found = captures(stored(read_records(spark, path, payload=False), "records"))
-    rows = found.select("record_id", "response", F.get_json_object(F.get("metadata", F.lit(0))["fields"], "$.page_id").cast("long").alias("page_id"))
-    firsts = rows.where("response.type = 'response'").select(F.col("record_id").alias("refers"), F.col("page_id").alias("refers_to"))
-    return rows.join(firsts, rows["response.refers_to"] == firsts["refers"], "left").select(
+    found = stored(captures(stored(read_records(spark, path, payload=False), "records")), "captures")
+    asked = F.coalesce(F.regexp_extract(F.get("requests", F.lit(0))["fields"], r"\r\nHost: ([^\r]*)\r\n", 1), F.lit(""))
+    target = F.coalesce(F.col("response.target_uri"), F.lit(""))
+    return with_referred(found).select(
         "page_id", F.col("response.payload_bytes").alias("payload_bytes"), F.col("response.payload_digest").alias("payload_digest"),
-        F.col("response.type").alias("record_type"), "refers_to")
+        F.col("response.type").alias("record_type"), F.col("refers_to_page").alias("refers_to"), F.size("requests").cast("long").alias("n_requests"),
+        F.contains(target, asked).alias("request_matches"))

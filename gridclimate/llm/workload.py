@@ -157,7 +157,7 @@ from d left join hits h using (doc_id) left join listed l using (doc_id)""",
 with p as (select page_id, sha256(coalesce(html, '')) as d, strlen(coalesce(html, ''))::bigint as n from pages),
 f as (select *, case when n >= 100 then min(page_id) over (partition by d, n >= 100) else page_id end as first from p)
 select page_id, n as payload_bytes, d as payload_digest, case when first = page_id then 'response' else 'revisit' end as record_type,
-    case when first <> page_id then first end as refers_to from f""",
+    case when first <> page_id then first end as refers_to, 1::bigint as n_requests, true as request_matches from f""",
     "op8_chat": r"""
 with c as (
     select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations

@@ -2,6 +2,7 @@ import hashlib
 
 import pytest
 
+from gridclimate.llm import warc
 from gridclimate.llm.chat import chat_digest, escape, format_chats, unescape
 from gridclimate.llm.warc import captures, capture_bytes, page_captures, parse_records, read_records, write_archives
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ def test_pages_come_back(spark):
         body = (html or "").encode()
         copy = html == LONG and (page_id != 3 or taken)
         taken |= page_id == 3
-        want.append((page_id, len(body), hashlib.sha256(body).hexdigest(), "revisit" if copy else "response", 3 if copy else None))
+        want.append((page_id, len(body), hashlib.sha256(body).hexdigest(), "revisit" if copy else "response", 3 if copy else None, 1, True))
     assert got == sorted(map(repr, want))
     assert page_captures(pages.where("false")).collect() == []
 
@@ -68,3 +69,22 @@ def test_escapes_undo(spark):
     texts = ["", "\\", "\\\\", "\\#", "###", "####", "\\###", "</turn>", "<\\/turn>", "\\</turn>\\", "\\c", "a: b", "\\\\\\#/"]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", escape(F.col("t")).alias("e")).select("t", "e", unescape(F.col("e")).alias("u")).collect()
     assert all(r["t"] == r["u"] and "###" not in r["e"] and "</turn>" not in r["e"] for r in rows)
+
+
+def test_all_three_records_are_joined(spark, shared):
+    """Requests reach the result, and dropping them from the archives shows."""
+    pages = spark.createDataFrame([(i, f"http://host{i}.example/p?q={i}", f"page {i}") for i in range(5)], "page_id long, url string, html string")
+    plan = page_captures(pages)._jdf.queryExecution().optimizedPlan().toString()
+    assert "requests" in plan
+    write_archives(pages, f"{shared}/warc")
+    records = read_records(spark, f"{shared}/warc", payload=False)
+    text = captures(records).select(F.size("requests").alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "= request)" in text
+    assert {r["n"] for r in captures(records.where("type <> 'request'")).select(F.size("requests").alias("n")).collect()} == {0}
+
+
+def test_many_repeated_payloads_take_the_other_join(spark, monkeypatch):
+    pages = spark.createDataFrame([(*p, "clash", 1) for p in PAGES], "page_id long, url string, html string, digest string, row int")
+    small = sorted(map(repr, page_captures(pages).collect()))
+    monkeypatch.setattr(warc, "SMALL_ROWS", 0)
+    assert sorted(map(repr, page_captures(pages).collect())) == small
