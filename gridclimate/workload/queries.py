@@ -126,6 +126,35 @@ def ingest_regional(spark, sf_dir):
         "response_id", "lat", "lon", "elevation", "param", "obs_ts", "value")
 
 
+def _regional_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One regional answer per event; by turns usable, beside the globe, with an hourly key, refused or cut off."""
+    sites = v.view(spark, sf_dir, "v_points").select("site_id", "lat", "lon")
+    raw, kind = v.view(spark, sf_dir, "v_obs_raw").join(sites, "site_id"), F.col("seq") % 6
+    day = F.date_format("obs_date", "yyyyMMdd")
+    series = F.create_map(F.when(kind == 2, F.concat(day, F.lit("00"))).otherwise(day), F.col("raw_value").cast("string"))
+    spot = F.array(F.when(kind == 1, F.col("lon") + 400.0).otherwise(F.col("lon")), F.col("lat"))
+    feature = F.struct(F.struct(spot.alias("coordinates")).alias("geometry"), F.struct(F.create_map("param", series).alias("parameter")).alias("properties"))
+    body = (F.when(kind == 3, F.lit('{"messages":["no such area","try another"]}')).when(kind == 4, F.lit('{"features":[{"geom'))
+            .otherwise(F.to_json(F.struct(F.array(feature).alias("features")))))
+    return raw.select(F.col("seq").alias("response_id"), body.alias("body"))
+
+
+@query("region_quarantine", """
+select seq as response_id, case when seq % 6 = 2 then param end as param, case when seq % 6 = 2 then strftime(obs_date, '%Y%m%d') || '00' end as date_key,
+       case seq % 6 when 1 then 'coordinates out of range' when 2 then 'no daily date key' when 3 then 'no such area; try another' else 'not JSON' end as reason
+from v_obs_raw join v_points using (site_id) where seq % 6 in (1, 2, 3, 4)""")
+def region_quarantine(spark, sf_dir):
+    return resp.region_quarantine(_regional_bodies(spark, sf_dir)).select("response_id", "param", "date_key", "reason")
+
+
+@query("region_store_rows", """
+select o.seq as response_id, s.param, s.cell_lat, s.cell_lon, cast(obs_date as timestamp) as obs_ts, nullif(raw_value, -999) as value, 'daily' as temporal, 'base' as variant
+from v_obs_raw o join v_site_cells s on s.site_id = o.site_id and s.param = o.param where o.seq % 6 in (0, 5)""")
+def region_store_rows(spark, sf_dir):
+    return resp.region_store_rows(_regional_bodies(spark, sf_dir)).select(
+        "response_id", "param", "cell_lat", "cell_lon", "obs_ts", "value", "temporal", "variant")
+
+
 @query("export_roundtrip", "select site_id, param, cast(obs_date as timestamp) as obs_ts, value from v_obs")
 def export_roundtrip(spark, sf_dir):
     obs = v.observations(spark, sf_dir)
@@ -491,6 +520,30 @@ def validate_regions(spark, sf_dir):
     return checked.select("region_id", F.array_join("violations", "; ").alias("violations"))
 
 
+@query("validate_region_requests", """
+with asked as (
+  select *, case when region_id % 3 = 0 then 'hourly' else 'daily' end as temporal, case region_id % 4 when 0 then '' when 1 then 'T2M' when 2 then 'T2M,GWETTOP' else 'FOO' end as p,
+         date '2024-01-10' as s, date '2024-01-10' + cast(region_id % 5 - 1 as int) as e from v_regions)
+select region_id, concat_ws('; ', case when not lat_min < lat_max then 'lat_min not below lat_max' end,
+       case when not lon_min < lon_max then 'lon_min not below lon_max' end,
+       case when lat_min < -90 or lat_max > 90 or lat_min > 90 or lat_max < -90 or lon_min < -180 or lon_max > 180 then 'box outside the globe' end,
+       case when lat_max - lat_min > 4.5 or lon_max - lon_min > 4.5 then 'box wider than 4.5 degrees' end,
+       case when p = '' then 'no parameters' end,
+       case when temporal = 'hourly' and p like '%GWETTOP%' then 'daily-only parameter on hourly request: GWETTOP' end,
+       case when s > e then 'start after end' end, case when temporal = 'hourly' then 'no hourly regional data' end,
+       case when p like '%,%' then 'more than 1 parameter' end) as violations,
+       case when p = 'FOO' then 'unknown parameter: FOO' else '' end as warnings
+from asked""")
+def validate_region_requests(spark, sf_dir):
+    k, day = F.col("region_id"), F.lit("2024-01-10").cast("date")
+    names = F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit("T2M")).when(k % 4 == 2, F.lit("T2M,GWETTOP")).otherwise(F.lit("FOO"))
+    asked = v.view(spark, sf_dir, "v_regions").withColumns({
+        "temporal": F.when(k % 3 == 0, F.lit("hourly")).otherwise(F.lit("daily")), "params": F.filter(F.split(names, ","), lambda p: p != ""),
+        "start_date": day, "end_date": F.date_add(day, (k % 5 - 1).cast("int"))})
+    checked = req.validate_regions(asked, "params", "temporal", "start_date", "end_date")
+    return checked.select("region_id", F.array_join("violations", "; ").alias("violations"), F.array_join("warnings", "; ").alias("warnings"))
+
+
 @query("validate_limits", """
 select c_custkey as request_id, concat_ws('; ',
        case when c_custkey % 24 + 1 > case when c_custkey % 2 = 0 then 15 else 20 end

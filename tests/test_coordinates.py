@@ -153,6 +153,13 @@ def test_site_sources(spark, tmp_path):
     assert conform(spark.createDataFrame([(1.0, 2.0)], "lat double, lon double")).count() == 1
 
 
+def test_text_ids_stay_and_odd_numbers_are_named(spark, tmp_path):
+    path = tmp_path / "sites.csv"
+    path.write_text("site_id,lat,lon,elevation,wind_elevation\nfarm_A,1,2,high,50\n007,3,4,12.5,\n,5,6,,x\n")
+    rows = [(r["site_id"], r["elevation"], r["wind_elevation"], r["site_warning"]) for r in read_site_csv(spark, str(path)).orderBy("lat").collect()]
+    assert rows == [("farm_A", None, 50.0, "unreadable elevation"), ("007", 12.5, None, None), (None, None, None, "unreadable wind_elevation")]
+
+
 def test_round_half_even(spark):
     from gridclimate.functions.text import format_bytes, round_half_even
     values = [1.00375, 2.67495, -0.00001, 12.34565, 0.00005, -7.12345]

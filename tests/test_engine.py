@@ -108,3 +108,20 @@ def test_whole_end_day_and_warnings(spark):
         assert asked.point(-60.0, 20.0, "2023-01-01", "2023-01-02", ["T2M"]).count() == hours  # the NULL calendar
     with pytest.warns(UserWarning, match="unknown parameter"):
         ClimateEngine(spark, rows, "hourly").point(10.0, 20.0, "2023-01-01", "2023-01-02", ["T2M", "NO_SUCH"])
+
+
+def test_fetch_plan_reads_the_kept_coverage(spark, shared):
+    store = ObservationStore(spark, shared + "/obs")
+    store.append(make_store(spark, [(10.0, 20.0)], ("T2M",)), order="ingest_seq")
+    asks = spark.createDataFrame([("T2M", 200, 320, D(2022, 12, 30), D(2023, 1, 5))],
+                                 "param string, cell_lat int, cell_lon int, start_date timestamp_ntz, end_date timestamp_ntz")
+    plan = ClimateEngine(spark, store).fetch_plan(asks, ["param", "cell_lat", "cell_lon"])
+    assert [(r["start_key"], r["end_key"]) for r in plan.orderBy("range_no").collect()] == [("20221230", "20221231"), ("20230104", "20230105")]
+    assert "obs_ts" not in plan._jdf.queryExecution().executedPlan().toString()  # no history is scanned
+
+
+def test_sites_with_unreadable_numbers_fail_by_name(spark, engine):
+    sites = spark.createDataFrame([("farm_A", "10", "20", "high"), ("farm_B", "10", "20", None)], "site_id string, lat string, lon string, elevation string")
+    answer, failed = engine.multi_point(sites, "2023-01-01", "2023-01-01", ["T2M"])
+    assert [r["site_id"] for r in answer.collect()] == ["farm_B"]
+    assert [(r["site_id"], r["reason"]) for r in failed.collect()] == [("farm_A", "unreadable elevation")]

@@ -140,3 +140,19 @@ def test_catalog(spark):
     grid = cat.with_catalog(spark.createDataFrame([("FOO",), ("ALLSKY_SFC_SW_DWN",)], "param string"), resolution="hourly")
     got = {r["param"]: (r["grid_lat_step"], r["grid_lon_step"], r["unit"]) for r in grid.collect()}
     assert got == {"FOO": (0.5, 0.625, None), "ALLSKY_SFC_SW_DWN": (1.0, 1.0, "W/m²")}
+
+
+def test_request_keys_tell_places_and_absent_parts_apart(spark):
+    schema = "lat double, lon double, e double, w double, surf string, p array<string>"
+    rows = [(1.0, 2.0, None, None, None, ["T2M"]), (1.0000001, 2.0, None, None, None, ["T2M"]), (None, 2.0, None, None, None, ["T2M"]), (2.0, None, None, None, None, ["T2M"]),
+            (1.0, 2.0, 5.0, None, None, ["T2M"]), (1.0, 2.0, None, 5.0, None, ["T2M"]), (1.0, 2.0, None, None, "\\N", ["T2M"]), (1.0, 2.0, None, None, "-", ["T2M"]),
+            (1.0, 2.0, None, None, "a|b", ["T2M"]), (1.0, 2.0, None, None, None, ["T2M", "PS"]), (1.0, 2.0, None, None, None, ["T2M,PS"]), (1.0, 2.0, None, None, None, None),
+            (1.0, 2.0, None, None, None, []), (0.0, 2.0, None, None, None, ["T2M"])]
+    df = spark.createDataFrame(rows, schema)
+
+    def keys(frame):
+        return [r[0] for r in frame.select(Q.request_key(F.col("p"), F.lit("daily"), F.col("lat"), F.col("lon"), F.col("e"), F.col("w"), F.col("surf"))).collect()]
+
+    found = keys(df)
+    assert len(set(found)) == len(rows) and all(k.startswith("v1_") and len(k) == 67 for k in found)
+    assert keys(df.where("lat = 0").withColumn("lat", F.lit(-0.0))) == found[-1:]
