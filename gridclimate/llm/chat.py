@@ -13,7 +13,8 @@ A conversation is one row of the output and thus one group; turns are ordered by
 role and text. Offsets of the loss spans come from a running sum over the turns.
 
 Defined cases: null roles and texts are empty; null conversation ids form one
-conversation; repeated turns stay repeated, side by side; an empty table gives no rows.
+conversation; repeated turns stay repeated, side by side; an empty table gives no rows;
+long texts are rendered and parsed whole; other columns are not read.
 """
 
 from __future__ import annotations

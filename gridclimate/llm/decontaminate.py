@@ -14,7 +14,8 @@ keys, and as texts only if a fingerprint has hit.
 
 Defined cases: a null or empty text has no words and no hits; a null or empty item
 never occurs; rows with one id and different texts are judged on their own; repeated rows
-get equal results; a null item id marks words but is not listed.
+get equal results; a null item id marks words but is not listed; without documents there
+are no rows, without items no hits; long texts are read whole; other columns are not read.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ number of buckets, which follows the input's size. Replies have the counts in th
 of the questions. Documents are read twice, so they must come from stored rows.
 
 Defined cases: null and empty texts have no words and a null score; rows with null or
-repeated ids are counted and scored like any other; an empty table gives no rows.
+repeated ids are counted and scored like any other; an empty table gives no rows; a text
+longer than a block is a block of its own; other columns are not read.
 """
 
 from __future__ import annotations

@@ -21,8 +21,9 @@ about 1 in 7 million; no other step can miss a link.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing;
 a null `doc_id` keeps its row, links with nothing, and has a null component;
-repeated rows form one class; several texts under one id are separate classes.
-Other columns are not read.
+repeated rows form one class; several texts under one id are separate classes;
+an empty table gives no rows; a text longer than a piece is hashed in segments, whole.
+Other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Equal keys (copies) spread over ranges by id. A task holds one open sequence, wh
 the size of its range. Token ids are computed once and stored before the sort.
 
 Defined cases: a null or empty text is its end id alone; null ids and repeated rows are
-packed like any other row; an empty table gives no pieces.
+packed like any other row; an empty table gives no pieces; a text longer than a piece is
+tokenised whole; other columns are not read.
 """
 
 from __future__ import annotations

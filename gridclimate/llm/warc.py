@@ -15,7 +15,7 @@ what they refer to. One nested row per capture comes out.
 Defined cases: null html is an empty payload; null urls leave the target out; a page without an id
 is never the first of its payload; of repeated rows one is the response, the others
 revisit it (or, with a small payload, all are responses); an empty table has no
-archives. Pages are read twice, so they must come from stored rows.
+archives; a long payload is one record; other columns are not read. Pages are read twice, so they must come from stored rows.
 """
 
 from __future__ import annotations
