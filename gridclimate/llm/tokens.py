@@ -24,7 +24,7 @@ from gridclimate.llm.common import pieces, string_buffers
 #: Id that closes every document.
 END_ID = 1
 #: Bytes of chunks and their ids that a worker keeps; when they are full, the third met first stays, which holds the frequent ones.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 96 << 20
 #: Characters of a chunk that is kept at most, and what a kept chunk costs besides its characters and ids.
 SHORT, ENTRY_BYTES = 64, 150
 #: New chunks handed to the tokenizer together.
