@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from gridclimate.llm.common import U64, gram_hashes, mapped, pieces, string_buffers, use_package, word_hashes
 
-ORDER, BACKOFF, CUTOFF = 2, 0.4, 2
+ORDER, BACKOFF, CUTOFF = 3, 0.4, 1
 #: Bytes of text of a block, and of the share of a bucket.
 BLOCK_BYTES = 8 << 20
 BUCKET_BYTES = 4 << 20

@@ -72,10 +72,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stupid-backoff score of every document."""
+    """Stupid-backoff score of every document from up to three words, where an n-gram seen once counts."""
     return backoff_scores(table(spark, sf_dir, "documents")).select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
 
 
+def op10_lm_score_order2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from pairs of words seen twice or more."""
+    scores = backoff_scores(table(spark, sf_dir, "documents"), order=2, cutoff=2)
+    return scores.select("doc_id", "n_words", F.round("log_score", 6).alias("log_score"))
+
+
 def op10_lm_score_order3(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stupid-backoff score of every document from up to three words, where an n-gram seen once counts."""
     scores = backoff_scores(table(spark, sf_dir, "documents"), order=3, cutoff=1)
@@ -108,6 +114,7 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_packing": op9_packing,
     "op10_lm_score": op10_lm_score,
+    "op10_lm_score_order2": op10_lm_score_order2,
     "op10_lm_score_order3": op10_lm_score_order3,
     "op11_fill_middle": op11_fill_middle,
     "op12_whitening": op12_whitening,
@@ -117,6 +124,21 @@ QUERIES = {
 #: A-Z to a-z alone, as DuckDB text.
 LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+ORDER_3 = f"""
+with d as (select doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
+t as (select doc_id, unnest(w) as w, unnest(range(1, len(w) + 1)) as i from d),
+g as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as v, lag(w, 2) over (partition by doc_id order by i) as u from t),
+c1 as (select w, count(*) as n from t group by w),
+c2 as (select v, w, count(*) as n from g where v is not null group by v, w),
+c3 as (select u, v, w, count(*) as n from g where u is not null group by u, v, w),
+s as (
+    select g.doc_id, case when g.u is not null then ln(c3.n) - ln(h2.n) when g.v is not null then ln(c2.n) - ln(h1.n)
+        else ln(c1.n) - ln((select count(*) from t)) end as score
+    from g join c1 on c1.w = g.w left join c1 h1 on h1.w = g.v left join c2 on c2.v = g.v and c2.w = g.w
+        left join c2 h2 on h2.v = g.u and h2.w = g.v left join c3 on c3.u = g.u and c3.v = g.v and c3.w = g.w)
+select d.doc_id, coalesce(len(d.w), 0)::bigint as n_words, round(avg(s.score), 6) as log_score
+from d left join s using (doc_id) group by d.doc_id, d.w"""
+
 TWINS = {
     "op1_near_dedup": f"""
 with recursive words as (
@@ -171,7 +193,9 @@ select conv_id::bigint as conv_id, count(*)::bigint as n_turns,
     sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
     sum(14 + length(role) + length(shown))::bigint as formatted_chars
 from e group by conv_id""",
-    "op10_lm_score": f"""
+    "op10_lm_score": ORDER_3,
+    "op10_lm_score_order3": ORDER_3,
+    "op10_lm_score_order2": f"""
 with d as (select doc_id, regexp_extract_all({LOWER}, '[^\\x20\\x09-\\x0D]+') as w from documents),
 t as (select doc_id, unnest(w) as w, unnest(range(1, len(w) + 1)) as i from d),
 g as (select doc_id, i, w, lag(w) over (partition by doc_id order by i) as v from t),

@@ -30,16 +30,17 @@ def brute_scores(rows, order, cutoff=2):
 @pytest.mark.parametrize("order", [2, 3])
 def test_scores(odd_docs, order):
     rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
-    got = backoff_scores(odd_docs, order).collect()
+    got = backoff_scores(odd_docs, order, cutoff=2).collect()
     shape = lambda rows: sorted((repr(i), n, round(s, 9) if s is not None else -1e9) for i, n, s in rows)
     assert shape(map(tuple, got)) == shape(brute_scores(rows, order))
 
 
-def test_registered_order_3_counts_every_gram(spark, tmp_path):
+@pytest.mark.parametrize("name, order, cutoff", [("op10_lm_score", 3, 1), ("op10_lm_score_order3", 3, 1), ("op10_lm_score_order2", 2, 2)])
+def test_registered_scores(spark, tmp_path, name, order, cutoff):
     rows = [(1, prose(1, 60)), (2, prose(1, 40) + " once only"), (3, prose(3, 30)), (4, None), (5, "one two")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in QUERIES["op10_lm_score_order3"](spark, str(tmp_path)).collect()}
-    want = brute_scores(rows, 3, cutoff=1)
+    got = {r["doc_id"]: (r["n_words"], r["log_score"]) for r in QUERIES[name](spark, str(tmp_path)).collect()}
+    want = brute_scores(rows, order, cutoff)
     assert len(got) == len(want)
     for i, n, score in want:
         assert got[i][0] == n and (got[i][1] is None if score is None else abs(got[i][1] - score) < 2e-6)
