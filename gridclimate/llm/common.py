@@ -24,6 +24,8 @@ U64 = np.uint64
 PIECE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between the JVM and Python, and what Spark sets by itself.
 BATCH_SETTING, BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", f"{8 << 20}b", f"{64 << 20}b"
+#: Bytes of strings in a frame that is sent to every task, at most.
+SMALL_BYTES = 64 << 20
 #: A-Z to a-z; every other byte stays.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -39,9 +41,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder name under the cluster's shared `spark.checkpoint.dir`.
 
-    Where the session names none (tests, notebooks), the warehouse folder is used.
+    A local session that names none (tests, notebooks) uses its warehouse folder; a cluster must name one.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
@@ -210,12 +216,17 @@ def give_back() -> None:
         pass
 
 
-def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """The frame with a broadcast hint if it has at most so many rows; else as it is, for a shuffle join.
+def small_side(df: DataFrame, rows: int, text_bytes: int = SMALL_BYTES) -> DataFrame:
+    """The frame with a broadcast hint if it has at most so many rows and bytes of text; else as it is, for a shuffle join.
 
-    The frame must be stored already: it is counted.
+    The frame must be stored already: it is counted and measured.
     """
-    return F.broadcast(df) if df.count() <= rows else df
+    size = F.lit(0).cast("long")
+    for field in df.schema:
+        if field.dataType.typeName() in ("string", "binary"):
+            size += F.coalesce(F.octet_length(field.name), F.lit(0))
+    n, held = df.agg(F.count("*"), F.sum(size)).first()
+    return F.broadcast(df) if n <= rows and (held or 0) <= text_bytes else df
 
 
 def crc_fold(doc_id: Column, folds: int) -> Column:

@@ -3,6 +3,7 @@ import re
 
 from conftest import prose
 
+from gridclimate.llm.common import small_side
 from gridclimate.llm.decontaminate import contamination
 
 
@@ -50,3 +51,9 @@ def test_awkward_rows(spark, odd_docs, no_docs):
     assert key(tuple(r) for r in got.collect()) == key(brute(rows, listed))
     assert contamination(no_docs, bench).collect() == []
     assert not any(r["contaminated"] or r["n_items"] for r in contamination(odd_docs, bench.where("false")).collect())
+
+
+def test_wide_windows_are_not_sent_to_every_task(spark):
+    few = spark.createDataFrame([("x" * 100,), (None,)], "window string")
+    hinted = lambda df: "ResolvedHint" in df._jdf.queryExecution().analyzed().toString()
+    assert hinted(small_side(few, 2)) and not hinted(small_side(few, 1)) and not hinted(small_side(few, 2, text_bytes=99))
