@@ -15,14 +15,14 @@ from gridclimate.functions.grid import with_cell
 from gridclimate.sources.responses import fill_to_null
 from gridclimate.sources.store import ObservationStore
 from gridclimate.streaming.ingest import first_arrivals as first_seen
-from gridclimate.streaming.ingest import retry_waiting, stream_into_store
+from gridclimate.streaming.ingest import checkpoint_path, retry_waiting, stream_into_store
 from gridclimate.workload import views as v
 
 
 def run_folder(spark: SparkSession, name: str) -> str:
-    """New folder under `spark.checkpoint.dir`, or under the warehouse where it is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """New folder under `spark.checkpoint.dir`, or, in a local session that names none, under the warehouse."""
+    local = spark.sparkContext.master.startswith("local")
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}", spark.conf.get("spark.sql.warehouse.dir") if local else None)
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
