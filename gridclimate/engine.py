@@ -144,7 +144,7 @@ class ClimateEngine:
                                          "region_id int, param string, lat_min double, lat_max double,"
                                          " lon_min double, lon_max double")
         held = self._held(params, start, end, self._tiles(regions.region_tiles, box))
-        found = regions.region_query(held, box, start, end, params=params[:1], bounds=(lat_min, lat_max))
+        found = regions.region_query(held, box, start, end, params=params[:1], bounds=(lat_min, lat_max), few=True)
         return found.select("obs_ts", "lat", "lon", F.col("value").alias(params[0]))
 
     def region_between(self, south_west: Coordinate, north_east: Coordinate, start: str, end: str,

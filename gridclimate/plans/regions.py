@@ -55,13 +55,15 @@ def region_tiles(regions: DataFrame, wrap: bool = False) -> list[int]:
 
 def region_query(store: DataFrame, regions: DataFrame, start: str, end: str, enforce_span: bool = True,
                  key: str = "region_id", params: list[str] | None = None,
-                 bounds: tuple[float, float] | None = None, wrap: bool = False, tiles: list[int] | None = None) -> DataFrame:
+                 bounds: tuple[float, float] | None = None, wrap: bool = False, tiles: list[int] | None = None,
+                 few: bool = False) -> DataFrame:
     """Daily values of every cell in every valid box: `key, param, obs_ts, lat, lon, value`.
 
     Boxes that break a rule are left out; `validate_regions` reports them. With
     `enforce_span=False` boxes of any size are answered. `params` names the
     parameters that the boxes ask for, `bounds` the latitudes they span and `tiles` the tiles of the
-    store they touch, so the scan prunes by them whatever join is chosen.
+    store they touch, so the scan prunes by them whatever join is chosen. `few` says that the boxes are a
+    handful, whose cells may be sent to every task.
     """
     valid = regions.where(F.size(F.array_compact(F.array(*box_checks(enforce_span, wrap)))) == 0)
     cells = region_cells(valid, wrap).select(key, "param", "cell_lat", "cell_lon", "lat", "lon")
@@ -75,8 +77,16 @@ def region_query(store: DataFrame, regions: DataFrame, start: str, end: str, enf
         window = window.where(F.col("cell_lat").between(*rows))
     window = (window.where(F.col("variant") == "base")
               .select("param", "cell_lat", "cell_lon", "obs_ts", "value"))
-    return (cells.join(window, ["param", "cell_lat", "cell_lon"])
-            .select(key, "param", "obs_ts", "lat", "lon", "value"))
+    return _join_cells(cells, window, few).select(key, "param", "obs_ts", "lat", "lon", "value")
+
+
+def _join_cells(cells: DataFrame, window: DataFrame, few: bool = False) -> DataFrame:
+    """Cells of boxes with their stored rows.
+
+    The planner sizes a list of cells by the boxes it came from, hundreds of times too small, and never takes
+    a broadcast chosen so early back; so unless the boxes are known to be few, both sides are shuffled.
+    """
+    return (cells if few else cells.hint("merge")).join(window, ["param", "cell_lat", "cell_lon"])
 
 
 def tile_boxes(regions: DataFrame, key: str = "region_id", span: float = MAX_BOX_DEGREES, wrap: bool = False) -> DataFrame:
@@ -115,5 +125,5 @@ def tiled_rows(store: DataFrame, tiled: DataFrame, start: str, end: str, key: st
     valid = tiled.where(F.size(F.array_compact(F.array(*box_checks()))) == 0)
     cells = region_cells(valid, wrap=True).groupBy(key, "param", "cell_lat", "cell_lon").agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"))
     window = select_window(store, "daily", params, start, end, tiles=tiles).where(F.col("variant") == "base")
-    return (cells.join(window.select("param", "cell_lat", "cell_lon", "obs_ts", "value"), ["param", "cell_lat", "cell_lon"])
+    return (_join_cells(cells, window.select("param", "cell_lat", "cell_lon", "obs_ts", "value"))
             .select(key, "param", "obs_ts", "lat", "lon", "value"))

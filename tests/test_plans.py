@@ -397,3 +397,15 @@ def test_tiles_are_pruned(spark, shared, broadcast):
         assert held.read("daily", ["T2M"]).count() == 25
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_cell_lists_are_not_broadcast(spark):
+    """A list of cells is far larger than the boxes it comes from, so it is sent to all tasks only where the boxes are few."""
+    store = make_store(spark, [(20.0, 10.0), (20.5, 10.625)], days=1).cache()
+    boxes = spark.range(4).selectExpr("id as region_id", "'T2M' as param", "19.0D as lat_min", "21.0D as lat_max", "9.0D as lon_min", "11.0D as lon_max")
+    day = ("2023-01-01", "2023-01-01")
+    for out in (regions.region_query(store, boxes, *day), regions.region_query(store, boxes, *day, wrap=True),
+                regions.tiled_rows(store, regions.tile_boxes(boxes), *day)):
+        assert "SortMergeJoin" in plan_text(out) and "Broadcast" not in plan_text(out)
+        assert sorted((r["region_id"], r["lat"], r["lon"]) for r in out.collect()) == [(i, *p) for i in range(4) for p in ((20.0, 10.0), (20.5, 10.625))]
+    assert regions.region_query(store, boxes, *day, few=True).count() == 8
