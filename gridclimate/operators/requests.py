@@ -184,12 +184,26 @@ def held_gaps(obs: DataFrame, keys: list[str], temporal: str = "temporal", stamp
     long the history of one key is, a task orders one block of it. Blocks are then stitched by
     their first and last stamps, of which a key has one pair a block. No calendar is built.
     """
+    return _gaps(*_held_blocks(obs, keys, temporal, stamp), keys, temporal, stamp)
+
+
+def _held_blocks(obs: DataFrame, keys: list[str], temporal: str, stamp: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct stamps with their `_block`, and first and last stamp of every block.
+
+    The stamps are dealt by key and block here, whatever dealt them before, so that all that reads them shares one
+    shuffle and no task gets whole keys with all their blocks.
+    """
     at = F.col(stamp)
     block = F.when(F.col(temporal) == "hourly", F.year(at) * 12 + F.month(at)).otherwise(F.year(at))
     # repeats (variants of a key, copies of a row) go before anything is ordered
-    held = obs.select(*keys, F.col(stamp).cast("timestamp_ntz").alias(stamp)).withColumn("_block", block).distinct()
+    held = (obs.select(*keys, at.cast("timestamp_ntz").alias(stamp)).withColumn("_block", block).distinct()
+            .repartition(*keys, "_block"))
+    return held, held.groupBy(*keys, "_block").agg(F.min(stamp).alias("_first"), F.max(stamp).alias("_last"))
+
+
+def _gaps(held: DataFrame, blocks: DataFrame, keys: list[str], temporal: str, stamp: str) -> DataFrame:
+    at = F.col(stamp)
     inside = held.withColumn("_before", F.lag(stamp).over(Window.partitionBy(*keys, "_block").orderBy(stamp))).drop("_block")
-    blocks = held.groupBy(*keys, "_block").agg(F.min(stamp).alias("_first"), F.max(stamp).alias("_last"))
     seams = blocks.select(*keys, F.col("_first").alias(stamp), F.lag("_last").over(Window.partitionBy(*keys).orderBy("_block")).alias("_before"))
     step = _step(temporal)
     return (inside.unionByName(seams).where(at - F.col("_before") > step)
@@ -207,7 +221,9 @@ def fetch_holes(requests: DataFrame, obs: DataFrame, keys: list[str], temporal:
     begin, finish = _asked_window(temporal, start, end)
     asked = requests.withColumns({"_s": begin, "_e": finish}).where("_s <= _e")
     mine = obs.join(requests.select(*keys).distinct(), keys, "left_semi")
-    bounds = mine.groupBy(*keys).agg(F.min("obs_ts").alias("_lo"), F.max("obs_ts").alias("_hi"))
+    held, blocks = _held_blocks(mine, keys, temporal, "obs_ts")
+    kind = obs.schema["obs_ts"].dataType
+    bounds = blocks.groupBy(*keys).agg(F.min("_first").cast(kind).alias("_lo"), F.max("_last").cast(kind).alias("_hi"))
     step = _step(temporal)
     low, high, s, e = (F.col(c) for c in ("_lo", "_hi", "_s", "_e"))
 
@@ -221,7 +237,7 @@ def fetch_holes(requests: DataFrame, obs: DataFrame, keys: list[str], temporal:
     def years(frame: DataFrame, first: str, last: str) -> DataFrame:
         return frame.withColumn("_year", F.explode(F.sequence(F.year(first), F.year(last))))
 
-    gaps = years(held_gaps(mine, keys, temporal), "gap_start", "gap_end")
+    gaps = years(_gaps(held, blocks, keys, temporal, "obs_ts"), "gap_start", "gap_end")
     met = years(asked, "_s", "_e").join(gaps, [*keys, "_year"]).where((F.col("gap_start") <= e) & (F.col("gap_end") >= s))
     inside = met.where(F.col("_year") == F.greatest(F.year(s), F.year("gap_start"))).select(
         *requests.columns, F.greatest(s, F.col("gap_start")).alias("range_start"), F.least(e, F.col("gap_end")).alias("range_end"))

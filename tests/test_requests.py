@@ -156,3 +156,25 @@ def test_request_keys_tell_places_and_absent_parts_apart(spark):
     found = keys(df)
     assert len(set(found)) == len(rows) and all(k.startswith("v1_") and len(k) == 67 for k in found)
     assert keys(df.where("lat = 0").withColumn("lat", F.lit(-0.0))) == found[-1:]
+
+
+def test_holes_are_sought_per_block(spark):
+    """Where keys and requests are shuffled to meet, a key's stamps are still dealt over its blocks, not left in one task."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = [d for d in range(800) if d % 100] + [7, 7]  # from 2022-01-02 on, a day missing in every hundred, one held three times
+        obs = spark.createDataFrame([(k, "daily", d) for k in (1, 2) for d in days] + [(1, "daily", None), (3, "daily", None)], "k int, temporal string, d int").select(
+            "k", "temporal", F.expr("cast(date_add(date'2022-01-01', d) as timestamp_ntz)").alias("obs_ts"))
+        asked = spark.createDataFrame([(1, "daily", "2022-01-01", "2024-12-31"), (1, "daily", "2022-02-01", "2022-02-02"), (3, "daily", "2022-01-05", "2022-01-05")],
+                                      "k int, temporal string, start_date string, end_date string")
+        out = Q.fetch_holes(asked, obs, ["k", "temporal"])
+        text = out._jdf.queryExecution().executedPlan().toString()
+        assert any("Exchange hashpartitioning(" in x and "_block#" in x for x in text.splitlines())
+        got = sorted((r["k"], r["start_date"], r["start_key"], r["end_key"]) for r in out.collect())
+        first = dt.date(2022, 1, 1)
+        holes = [(first + dt.timedelta(d)).strftime("%Y%m%d") for d in range(0, 800, 100)]
+        want = [(1, "2022-01-01", x, x) for x in holes] + [(1, "2022-01-01", (first + dt.timedelta(800)).strftime("%Y%m%d"), "20241231"), (3, "2022-01-05", "20220105", "20220105")]
+        assert got == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
