@@ -22,6 +22,18 @@ def east_edge(wrap: bool) -> Column:
     return F.when(lon_min > lon_max, lon_max + 360.0).otherwise(lon_max) if wrap else lon_max
 
 
+def _indexes(low: Column, high: Column, step: str, shift: float) -> Column:
+    place = lambda v: F.floor((v + shift) / grid_value(F.col("param"), step) + grid_value(F.col("param"), "anchor") - 0.5)
+    return F.sequence(place(low), place(high) + 1)
+
+
+def _region_rows(regions: DataFrame) -> DataFrame:
+    """One row per box and row of the grid whose centre it spans: adds `_la`."""
+    rows = regions.withColumn("_la", F.explode(_indexes(F.col("lat_min"), F.col("lat_max"), "lat_step", 90.0)))
+    return (rows.where(cell_centre_lat(F.col("_la"), F.col("param")).between(F.col("lat_min"), F.col("lat_max")))
+            .where(F.col("_la").between(0, grid_value(F.col("param"), "n_lat") - 1)))
+
+
 def region_cells(regions: DataFrame, wrap: bool = False) -> DataFrame:
     """One row per box and cell: adds `cell_lat, cell_lon, lat, lon` (the cell centre).
 
@@ -30,16 +42,8 @@ def region_cells(regions: DataFrame, wrap: bool = False) -> DataFrame:
     cross the antimeridian; the cell on it is listed once, with the longitude of its own index.
     """
     param = F.col("param")
-
-    def indexes(low: Column, high: Column, step: str, shift: float) -> Column:
-        place = lambda v: F.floor((v + shift) / grid_value(param, step) + grid_value(param, "anchor") - 0.5)
-        return F.sequence(place(low), place(high) + 1)
-
-    rows = regions.withColumn("_la", F.explode(indexes(F.col("lat_min"), F.col("lat_max"), "lat_step", 90.0)))
-    rows = (rows.withColumn("lat", cell_centre_lat(F.col("_la"), param))
-            .where(F.col("lat").between(F.col("lat_min"), F.col("lat_max")))
-            .where(F.col("_la").between(0, grid_value(param, "n_lat") - 1)))
-    rows = rows.withColumn("_lo", F.explode(indexes(F.col("lon_min"), east_edge(wrap), "lon_step", 180.0)))
+    rows = _region_rows(regions).withColumn("lat", cell_centre_lat(F.col("_la"), param))
+    rows = rows.withColumn("_lo", F.explode(_indexes(F.col("lon_min"), east_edge(wrap), "lon_step", 180.0)))
     column = F.pmod(F.col("_lo"), grid_value(param, "n_lon").cast("bigint"))
     rows = rows.withColumn("lon", cell_centre_lon(F.col("_lo"), param)).where(F.col("lon").between(F.col("lon_min"), east_edge(wrap)))
     if wrap:  # once round the globe at most
@@ -115,6 +119,29 @@ def tile_boxes(regions: DataFrame, key: str = "region_id", span: float = MAX_BOX
                        F.col("_b.low").alias("lon_min"), F.col("_b.high").alias("lon_max"))
 
 
+def _distinct_cells(tiled: DataFrame, key: str) -> DataFrame:
+    """Cells of the tiles of every box, each once: `key, param, cell_lat, cell_lon, lat, lon`.
+
+    Tiles are dealt by key and row of the grid, where their spans of columns are merged, so
+    the cells are listed once and nothing is held per cell. Longitudes are a circle.
+    """
+    param = F.col("param")
+    n_lon = grid_value(param, "n_lon").cast("bigint")
+    place = lambda v: F.floor((v + 180.0) / grid_value(param, "lon_step") + grid_value(param, "anchor") - 0.5)
+    low, high = place(F.col("lon_min")), place(F.col("lon_max"))
+    # first and last column with their centre inside, as the exact centre test has it
+    first = F.when(cell_centre_lon(low, param) >= F.col("lon_min"), low).otherwise(low + 1)
+    last = (F.when(cell_centre_lon(high + 1, param) <= F.col("lon_max"), high + 1)
+            .when(cell_centre_lon(high, param) <= F.col("lon_max"), high).otherwise(high - 1))
+    rows = (_region_rows(tiled).select(key, "param", "_la", first.alias("first"), last.alias("last"))
+            .where("first <= last").repartition(key, "param", "_la"))
+    spans = rows.groupBy(key, "param", "_la").agg(F.collect_set(F.struct("first", "last")).alias("_spans"))
+    columns = F.flatten(F.transform("_spans", lambda s: F.transform(F.sequence(s["first"], s["last"]), lambda i: F.pmod(i, n_lon))))
+    cells = spans.select(key, "param", "_la", F.explode(F.array_distinct(columns)).alias("_lo"))
+    return cells.select(key, "param", F.col("_la").cast("int").alias("cell_lat"), F.col("_lo").cast("int").alias("cell_lon"),
+                        cell_centre_lat(F.col("_la"), param).alias("lat"), cell_centre_lon(F.col("_lo"), param).alias("lon"))
+
+
 def tiled_rows(store: DataFrame, tiled: DataFrame, start: str, end: str, key: str = "region_id",
                params: list[str] | None = None, tiles: list[int] | None = None) -> DataFrame:
     """Rows of boxes that were cut by `tile_boxes`, each cell once: `key, param, obs_ts, lat, lon, value`.
@@ -123,7 +150,7 @@ def tiled_rows(store: DataFrame, tiled: DataFrame, start: str, end: str, key: st
     -180 are one meridian, so its cell also counts once.
     """
     valid = tiled.where(F.size(F.array_compact(F.array(*box_checks()))) == 0)
-    cells = region_cells(valid, wrap=True).groupBy(key, "param", "cell_lat", "cell_lon").agg(F.first("lat").alias("lat"), F.first("lon").alias("lon"))
+    cells = _distinct_cells(valid, key)
     window = select_window(store, "daily", params, start, end, tiles=tiles).where(F.col("variant") == "base")
     return (_join_cells(cells, window.select("param", "cell_lat", "cell_lon", "obs_ts", "value"))
             .select(key, "param", "obs_ts", "lat", "lon", "value"))

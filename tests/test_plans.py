@@ -409,3 +409,17 @@ def test_cell_lists_are_not_broadcast(spark):
         assert "SortMergeJoin" in plan_text(out) and "Broadcast" not in plan_text(out)
         assert sorted((r["region_id"], r["lat"], r["lon"]) for r in out.collect()) == [(i, *p) for i in range(4) for p in ((20.0, 10.0), (20.5, 10.625))]
     assert regions.region_query(store, boxes, *day, few=True).count() == 8
+
+
+def test_tiled_cells_are_the_cells_of_the_tiles(spark):
+    """Spans of columns merged per row of the grid give the cells of the single tiles, each once, without a per-cell aggregate."""
+    rng = random.Random(4)
+    edges = [x * 0.3125 for x in range(-576, 577)]
+    boxes = [(i % 40 if i % 7 else None, rng.choice(["T2M", "ALLSKY_SFC_SW_DWN"]), a, a + rng.choice([0.5, 1.0, 4.5, rng.uniform(0, 4.5)]), o, o + rng.choice([0.3125, 0.625, 4.375, rng.uniform(0, 4.5)]))
+             for i, (a, o) in enumerate((rng.choice([rng.uniform(-90, 86), rng.randrange(-180, 170) * 0.5]), rng.choice([rng.choice(edges), rng.uniform(-180, 180)])) for _ in range(300))]
+    tiles = spark.createDataFrame([b for b in boxes if b[5] <= 180] + boxes[:5] + [(1, "T2M", None, 1.0, 0.0, 1.0), (1, "T2M", 0.0, 1.0, None, 1.0)], BOX)
+    columns = ["region_id", "param", "cell_lat", "cell_lon", "lat", "lon"]
+    got = regions._distinct_cells(tiles, "region_id")
+    assert "keys=[region_id" in plan_text(got) and "cell_lon" not in "".join(x for x in plan_text(got).splitlines() if "Aggregate" in x)
+    want = regions.region_cells(tiles, wrap=True).select(*columns).distinct()
+    assert got.count() == want.count() > 2000 and got.select(*columns).exceptAll(want).isEmpty()
