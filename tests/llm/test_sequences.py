@@ -1,6 +1,7 @@
 """Packing and token shards against the tokenizer itself."""
 
 import glob
+import random
 import zlib
 
 import numpy as np
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from gridclimate.llm.packing import hilbert_keys, pack, packed_index, power_cuts
 from gridclimate.llm.token_shards import feistel, read_shards, stride, token_shards, write_shards
-from gridclimate.llm.tokens import END_ID, Vocabulary, default_path, token_pieces, vocabulary
+from gridclimate.llm.tokens import END_ID, MARK, Vocabulary, default_path, token_pieces, vocabulary
 
 
 def ids_of(text, path=None):
@@ -42,6 +43,36 @@ def test_looked_up_ids_are_the_tokenizers():
     assert listed(pa.array([], pa.string()), default_path()) == []
 
 
+def test_a_word_is_read_once_whatever_follows_it(monkeypatch):
+    """Words of letters are kept without the punctuation behind them, and read side by side without marks."""
+    read, encode = [], Vocabulary._encode
+    monkeypatch.setattr(Vocabulary, "_encode", lambda self, texts: read.extend(texts) or encode(self, texts))
+    own = Vocabulary(default_path())
+    read.clear()
+    text = "brolmic brolmic, brolmic. trévasse!! brolmic? trévasse; (brolmic) Жук: brolmic"
+    ids, edges = own.ids_of(pa.array([text]))
+    assert ids.tolist() == ids_of(text) and edges.tolist() == [0, len(ids)]
+    assert {c for c in own.known if c[-1].isalpha()} == {"brolmic", "trévasse", "(brolmic", "Жук"}
+    many = " ".join(a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in ("lorg", "merf", "öst", "ñu"))
+    read.clear()
+    assert own.ids_of(pa.array([many]))[0].tolist() == ids_of(many)
+    assert [t for t in read if t] == [many]  # no mark, and one text for all
+
+
+def test_ids_of_odd_letters_marks_and_punctuation():
+    """Texts of letters, combining marks, signs, added tokens and blanks in any order, also together with plain words."""
+    units = ["a", "E", "t", "é", "É", "ß", "ẞ", "İ", "ſ", "ŉ", "×", "÷", "Ж", "я", "Σ", "ς", "日", "한", "क", "ि", "ª", "\u0301", "\u0308", "\u0338", "\u030a", "K", "\u3164",
+             "'", "'s", "'LL", ",", ".", "=", "<", ">", "|", "_", "-", "»", "¿", "\u200d", "7", "٣", " ", " ", " ", "\n", "\t", "\r", "\xa0", "\x85", MARK,
+             "<|endoftext|>", "<|ENDOFTEXT|>", "</w>", "word", "prose", "😀"]
+    deal = random.Random(3)
+    texts = ["".join(deal.choices(units, k=deal.randint(0, 30))) for _ in range(3000)]
+    texts += [" ".join("".join(deal.choices(["a", "é", "İ", "ẞ", "日", "t", "ʰ", "ŉ", "\u3164", "ß"], k=deal.randint(1, 6))) for _ in range(deal.randint(0, 40))) for _ in range(300)]
+    own = Tokenizer.from_file(default_path())
+    want = [own.encode(t, add_special_tokens=False).ids + [END_ID] for t in texts]
+    assert listed(pa.array(texts), default_path()) == want
+    assert [x for t in texts[:200] for x in listed(pa.array([t]), default_path(), 1 << 12)] == want[:200]
+
+
 def test_two_tokenizer_files_in_one_worker():
     byte = public_tokenizers.path("byte_bpe_50k.json")
     texts = [t for t in TEXTS if t is None or len(t) < 10_000]
